@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from cartwheel.functions import hash_bucket, hash_long, hash_order, next_week
 from cartwheel.operators.sales import CELL
 from cartwheel.operators.sampling import take_in_order
+from cartwheel.session import stage
 
 PERMUTATION_PASSES = 2
 BUCKETS = 4096
@@ -91,7 +92,8 @@ def draw_unbought(spark: SparkSession, sold: DataFrame, n: int, seed: int = 42)
     first n in draw order are kept. Raises when the grid has fewer unsold cells.
     """
     known = sold.dropna(subset=CELL).filter(F.col("items") != 0)
-    customers, weeks, products = (axis(sold, k) for k in ("customer_id", "week", "product_id"))
+    customers, weeks, products = (stage(axis(sold, k), k)
+                                  for k in ("customer_id", "week", "product_id"))
     counts = known.agg(F.count("*").alias("sold")).select(
         "sold", *[a.agg(F.count("*")).scalar().alias(k) for k, a in
                   (("c", customers), ("w", weeks), ("p", products))]).first()
@@ -102,26 +104,20 @@ def draw_unbought(spark: SparkSession, sold: DataFrame, n: int, seed: int = 42)
         raise ValueError("the full grid has too many cells to number")
     draws = min(sizes.cells, n + counts.sold)
     numbers = spark.range(draws).select(
-        F.col("id").alias("_k"), (F.col("id") % sizes.customers).alias("c"),
-        (F.floor(F.col("id") / F.lit(1)).cast("long")).alias("_rest"))
-    numbers = numbers.select(
-        "_k", "c", F.expr(f"(_k div {sizes.customers}) % {sizes.weeks}").alias("w"),
-        F.expr(f"_k div {sizes.customers * sizes.weeks}").alias("p"))
+        F.col("id").alias("_k"), F.expr(f"id % {sizes.customers}").alias("c"),
+        F.expr(f"(id div {sizes.customers}) % {sizes.weeks}").alias("w"),
+        F.expr(f"id div {sizes.customers * sizes.weeks}").alias("p"))
     cells = (_shuffle_numbers(numbers, sizes, seed)
              .join(weeks, F.col("w") == F.col("week_no"))
              .join(products, F.col("p") == F.col("product_id_no"))
              .join(customers, F.col("c") == F.col("customer_id_no"))
              .select("_k", *CELL))
-    free = cells.join(known.select(*CELL), CELL, "left_anti")
+    free = stage(cells.join(known.select(*CELL), CELL, "left_anti"), "unsold")
     width = max(1, -(-draws // BUCKETS))
-    first = take_in_order(free, _number(n), F.expr(f"_k div {width}"), [F.col("_k")])
+    first = take_in_order(free, F.lit(n).cast("long"), F.expr(f"_k div {width}"), [F.col("_k")])
     return first.select(*CELL, F.lit(0.0).alias("items"))
 
 
-def _number(n: int) -> Column:
-    return F.lit(n).cast("long")
-
-
 def balanced_cross(spark: SparkSession, sold: DataFrame, seed: int = 42) -> DataFrame:
     """All bought cells of the full grid and as many unbought ones."""
     bought = sold.dropna(subset=CELL).filter(F.col("items") > 0)

@@ -1,8 +1,9 @@
 """Purchase, recency and zone features over a packed grid.
 
-All statistics are assembled on the narrow pair table (one row per customer and product). The
-cells meet them in one join on (customer, product), whose groups are bounded by the calendar, so
-no window or join ever gathers all cells of one customer, product or zone.
+Statistics come from a narrow pair table (one row per customer and product), never from unpacked
+cells. What a row needs from other rows of its pair is read from the pair's own arrays, and what it
+needs from earlier products of its customer is carried over as at most three labels. No window or
+join therefore gathers all cells of one customer, product or zone.
 """
 
 from __future__ import annotations
@@ -10,22 +11,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartwheel.functions import days_between, round_half_even
-from cartwheel.operators.grid import pack
 from cartwheel.operators.tables import fill_nulls
 
 TREND_ROWS = 4
 PAIR = ["customer_id", "product_id"]
 
 
-def _label(cell):
-    return F.when(cell["items"] > 0, 1).otherwise(0)
+def _label(week):
+    # a week is in the map exactly when something was bought in it
+    return F.when(F.col("bought")[week["week"]] > 0, 1).otherwise(0)
 
 
-def customer_zone_stats(pairs: DataFrame, cust: DataFrame) -> DataFrame:
-    """Per customer: mean items per row, zone, and the zone's frequency, volume and customers.
+def _last(items: str, n: int):
+    return F.slice(items, F.greatest(F.size(items) - n + 1, F.lit(1)), n)
 
-    Zone figures come from one aggregate over customers, not from the cells.
-    """
+
+def pair_summary(packed: DataFrame) -> DataFrame:
+    """Row count, bought cells, items and the labels of the last rows of each pair."""
+    return packed.select(*PAIR, "n_rows", "n_pos", "s_items",
+                         F.transform(_last("weeks", TREND_ROWS - 1), _label).alias("tail"))
+
+
+def customer_stats(pairs: DataFrame, cust: DataFrame) -> DataFrame:
+    """Customer attributes with mean items per row, zone, and the zone's purchase frequency,
+    volume and number of customers. Zones are aggregated over customers, not over cells."""
     totals = pairs.groupBy("customer_id").agg(
         F.sum("n_rows").alias("_rows"), F.sum("n_pos").alias("_pos"),
         F.sum("s_items").alias("_items"))
@@ -41,58 +50,57 @@ def customer_zone_stats(pairs: DataFrame, cust: DataFrame) -> DataFrame:
             .drop("_rows", "_pos", "_items"))
 
 
-def product_stats(pairs: DataFrame) -> DataFrame:
-    return (pairs.dropna(subset=["product_id"]).groupBy("product_id")
-            .agg((F.sum("s_items") / F.sum("n_rows")).alias("product_avg_purchase")))
+def product_stats(pairs: DataFrame, prod: DataFrame) -> DataFrame:
+    """Product attributes with mean items per row; unknown products keep null attributes."""
+    means = (pairs.dropna(subset=["product_id"]).groupBy("product_id")
+             .agg((F.sum("s_items") / F.sum("n_rows")).alias("product_avg_purchase")))
+    return means.join(prod, "product_id", "left")
 
 
-def _last(cells: str, n: int):
-    size = F.size(cells)
-    return F.slice(cells, F.greatest(size - n + 1, F.lit(1)), n)
+def carried_labels(pairs: DataFrame) -> DataFrame:
+    """Per pair, the labels of the customer's last rows before this product (oldest first).
 
-
-def _carry(pairs: DataFrame) -> DataFrame:
-    """Labels of the last rows of a customer before each of its products, in row order."""
+    The window runs over one small row per product of a customer, so the catalogue bounds it.
+    """
     n = TREND_ROWS - 1
     before = (Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("product_id"))
               .rowsBetween(-n, -1))
-    return (pairs.withColumn("_labels", F.flatten(F.collect_list("_tail").over(before)))
-            .withColumn("carry", _last("_labels", n)).drop("_labels", "_tail"))
-
-
-def packed_features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
-    """Training columns for every cell of a packed grid. ``cust`` rows are matched inner,
-    ``prod`` rows left."""
-    tail = F.transform(_last("cells", TREND_ROWS - 1), _label)
-    sums = packed.select(*PAIR, "n_rows", "n_pos", "s_items")
-    by_customer = customer_zone_stats(sums, cust)
-    by_product = product_stats(sums).join(prod, "product_id", "full_outer")
-    pairs = (_carry(packed.select(*PAIR, tail.alias("_tail")))
-             .join(by_customer, "customer_id")
-             .join(by_product, "product_id", "left")
-             .withColumnsRenamed({"customer_id": "_c", "product_id": "_p"}))
+    return (pairs.select(*PAIR, F.flatten(F.collect_list("tail").over(before)).alias("_labels"))
+            .select(*PAIR, _last("_labels", n).alias("carry")))
 
-    joined = packed.select(*PAIR, "cells").join(
-        pairs, (F.col("customer_id") == F.col("_c"))
-        & F.col("product_id").eqNullSafe(F.col("_p"))).drop("_c", "_p")
-    rows = joined.select("*", F.posexplode("cells").alias("pos", "cell"))
+
+def packed_features(packed: DataFrame, carried: DataFrame, by_customer: DataFrame,
+                    by_product: DataFrame) -> DataFrame:
+    """Training columns for every cell of a packed grid.
+
+    ``by_customer`` is matched inner and ``by_product`` left. Both are usually small enough for
+    Spark to broadcast them on their own size; when they are not, pairs (not cells) are shuffled
+    and the adaptive skew join splits a hot customer or product.
+    """
+    carried = carried.withColumnsRenamed({"customer_id": "_c", "product_id": "_p"})
+    pairs = (packed.select(*PAIR, "weeks", "bought")
+             .join(carried, (F.col("customer_id") == F.col("_c"))
+                   & F.col("product_id").eqNullSafe(F.col("_p"))).drop("_c", "_p")
+             .join(by_customer, "customer_id")
+             .join(by_product, "product_id", "left"))
+    rows = pairs.select("*", F.posexplode("weeks").alias("pos", "cell"))
 
     def label_back(k):
         # k rows up: inside this product, or in the labels carried over from earlier products
         i = F.col("pos") - k
-        return F.when(i >= 0, _label(F.get("cells", i))).otherwise(
+        return F.when(i >= 0, _label(F.get("weeks", i))).otherwise(
             F.get("carry", F.size("carry") + i))
 
-    back = [label_back(k) for k in range(1, TREND_ROWS)]
-    total, seen = F.lit(0) + _label(F.col("cell")), F.lit(1)
-    for b in back:
-        total = total + F.coalesce(b, F.lit(0))
-        seen = seen + F.when(b.isNotNull(), 1).otherwise(0)
-    last_week = F.get("cells", F.col("pos") - 1)["week"]
-    dims_c = [c for c in cust.columns if c != "customer_id"]
-    dims_p = [c for c in prod.columns if c != "product_id"]
+    total, seen = _label(F.col("cell")), F.lit(1)
+    for k in range(1, TREND_ROWS):
+        total = total + F.coalesce(label_back(k), F.lit(0))
+        seen = seen + F.when(label_back(k).isNotNull(), 1).otherwise(0)
+    last_week = F.get("weeks", F.col("pos") - 1)["week"]
+    figures = {"zone_X", "zone_Y", "zone_avg_purchase_freq", "zone_total_purchases",
+               "zone_customer_density", "customer_avg_purchase", "product_avg_purchase", *PAIR}
+    attributes = [c for c in [*by_customer.columns, *by_product.columns] if c not in figures]
     out = rows.select(
-        "customer_id", F.col("cell.week").alias("week"), "product_id", *dims_c, *dims_p,
+        "customer_id", F.col("cell.week").alias("week"), "product_id", *attributes,
         _label(F.col("cell")).alias("target"),
         F.col("cell.week_total").alias("total_weekly_purchase"), "customer_avg_purchase",
         (total / seen).alias("recent_purchase_trend"), "product_avg_purchase",
@@ -101,19 +109,11 @@ def packed_features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> Data
         .alias("days_since_last_purchase"),
         "zone_X", "zone_Y", "zone_avg_purchase_freq", "zone_total_purchases",
         "zone_customer_density")
-    return fill_nulls(out, overrides={})
-
-
-def purchase_features(rows: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
-    """The same for a table of labelled cells (customer_id, product_id, week, items)."""
-    return packed_features(pack(rows), cust, prod)
+    return fill_nulls(out)
 
 
-def zone_features(rows: DataFrame, cust: DataFrame) -> DataFrame:
-    """Zone and its statistics per customer, from labelled cells."""
-    sums = rows.groupBy(*PAIR).agg(
-        F.count("*").alias("n_rows"), F.count(F.when(F.col("items") > 0, 1)).alias("n_pos"),
-        F.sum("items").alias("s_items"))
-    return customer_zone_stats(sums, cust.select("customer_id", "X", "Y")).select(
+def zone_features(pairs: DataFrame, cust: DataFrame) -> DataFrame:
+    """Zone and its statistics per customer, from a pair table."""
+    return customer_stats(pairs, cust.select("customer_id", "X", "Y")).select(
         "customer_id", "zone_X", "zone_Y", "zone_avg_purchase_freq", "zone_total_purchases",
         "zone_customer_density")

@@ -1,11 +1,12 @@
 """The customer x product x week grid.
 
-The grid is kept *packed*: one row per (customer, product) with an array of that pair's weekly
-cells. A pair has at most one cell per calendar week, so a packed row is bounded, the join that
-makes the grid moves pairs instead of cells, and cells are only unpacked where they are used.
+The grid is kept *packed*: one row per (customer, product) with the weeks of that pair. A pair has
+at most one cell per calendar week, so a packed row is bounded, the join that makes the grid moves
+pairs instead of cells, and cells are only unpacked where they are used.
 
-Packed columns: customer_id, product_id, cells array<struct<week, items, week_total>> in week
-order, n_rows, n_pos, s_items. ``week_total`` is the customer's purchases of that week.
+Packed columns: customer_id, product_id, weeks array<struct<week, week_total>> in order,
+bought map<week, items> with the cells above 0, n_rows, n_pos, s_items. ``week_total`` is what the
+customer bought in that week over all products.
 """
 
 from __future__ import annotations
@@ -19,46 +20,45 @@ from cartwheel.operators.sales import CELL
 HEAVY_SHARE = 2000
 
 
-def _customer_weeks(sold: DataFrame, cust: DataFrame | None) -> DataFrame:
-    weekly = (sold.groupBy("customer_id", "week")
-              .agg(F.sum(F.when(F.col("items") > 0, F.col("items")).otherwise(0.0)).alias("total"),
-                   F.count("*").alias("cells")))
-    weeks = (weekly.groupBy("customer_id")
-             .agg(F.sort_array(F.collect_list(F.struct("week", "total"))).alias("weeks"),
-                  F.sum("cells").alias("sold_cells")))
-    if cust is not None:
-        weeks = weeks.join(cust.select("customer_id"), "customer_id", "left_semi")
-    return weeks
+def _join_weeks(pairs: DataFrame, weeks: DataFrame, sold: DataFrame,
+                heavy_share: int) -> DataFrame:
+    """Pairs with their customer's weeks. Pairs of a heavy customer stay spread over the
+    partitions of the pair table; the others meet their customer in a shuffle."""
+    limit = sold.agg(F.count("*").alias("n")).scalar() / F.lit(heavy_share)
+    heavy = weeks.filter(F.col("sold_cells") > limit)
+    light = weeks.filter(F.col("sold_cells") <= limit)
+    return (pairs.join(F.broadcast(heavy), "customer_id")
+            .unionByName(pairs.join(light, "customer_id")).drop("sold_cells"))
 
 
 def packed_grid(sold: DataFrame, cust: DataFrame | None = None,
                 heavy_share: int = HEAVY_SHARE) -> DataFrame:
     """Every product a customer ever bought, in every week the customer bought anything.
 
-    Cells without sales have items 0; cells whose sum is negative are left out. With ``cust``
-    only customers present there stay.
+    Cells without sales count 0 items; cells whose sum is negative are left out, undated sales
+    have no week and no cell. With ``cust`` only customers present there stay.
     """
+    sold = sold.dropna(subset=["customer_id", "week"])
     positive = F.col("items") > 0
+    cell = F.struct("week", "items")
     pairs = sold.groupBy("customer_id", "product_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("week", "items"))).alias("sold"),
+        F.map_from_entries(F.collect_list(F.when(positive, cell))).alias("bought"),
+        F.collect_list(F.when(F.col("items") < 0, F.col("week"))).alias("_negative"),
         F.count(F.when(positive, 1)).alias("n_pos"),
-        F.count(F.when(F.col("items") < 0, 1)).alias("n_neg"),
         F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("s_items"))
-    weeks = _customer_weeks(sold, cust)
-
-    limit = sold.agg(F.count("*").alias("n")).scalar() / F.lit(heavy_share)
-    heavy = weeks.filter(F.col("sold_cells") > limit)
-    light = weeks.filter(F.col("sold_cells") <= limit)
-    joined = (pairs.join(F.broadcast(heavy), "customer_id")
-              .unionByName(pairs.join(light, "customer_id")))
-
-    cells = F.transform("weeks", lambda w: F.struct(
-        w["week"].alias("week"),
-        F.coalesce(F.col("sold")[w["week"]], F.lit(0.0)).alias("items"),
-        w["total"].alias("week_total")))
-    kept = F.when(F.col("n_neg") > 0, F.filter(cells, lambda c: c["items"] >= 0)).otherwise(cells)
-    return joined.select("customer_id", "product_id", kept.alias("cells"),
-                         (F.size("weeks") - F.col("n_neg")).alias("n_rows"), "n_pos", "s_items")
+    weekly = sold.groupBy("customer_id", "week").agg(
+        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("week_total"),
+        F.count("*").alias("cells"))
+    weeks = weekly.groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(F.struct("week", "week_total"))).alias("weeks"),
+        F.sum("cells").alias("sold_cells"))
+    if cust is not None:
+        weeks = weeks.join(cust.select("customer_id"), "customer_id", "left_semi")
+    kept = F.filter("weeks", lambda w: ~F.array_contains("_negative", w["week"]))
+    return (_join_weeks(pairs, weeks, sold, heavy_share)
+            .withColumn("weeks", F.when(F.size("_negative") > 0, kept).otherwise(F.col("weeks")))
+            .select("customer_id", "product_id", "weeks", "bought",
+                    F.size("weeks").alias("n_rows"), "n_pos", "s_items"))
 
 
 def pack(rows: DataFrame) -> DataFrame:
@@ -67,20 +67,23 @@ def pack(rows: DataFrame) -> DataFrame:
         totals = rows.groupBy("customer_id", "week").agg(
             F.sum("items").alias("total_weekly_purchase"))
         rows = rows.join(totals, ["customer_id", "week"], "left")
-    cell = F.struct("week", "items", F.col("total_weekly_purchase").alias("week_total"))
+    week = F.struct("week", F.col("total_weekly_purchase").alias("week_total"))
+    positive = F.col("items") > 0
     return rows.groupBy("customer_id", "product_id").agg(
-        F.sort_array(F.collect_list(cell)).alias("cells"), F.count("*").alias("n_rows"),
-        F.count(F.when(F.col("items") > 0, 1)).alias("n_pos"),
-        F.sum("items").alias("s_items"))
+        F.sort_array(F.collect_list(week)).alias("weeks"),
+        F.map_from_entries(F.collect_list(F.when(positive, F.struct("week", "items"))))
+        .alias("bought"),
+        F.count("*").cast("int").alias("n_rows"),
+        F.count(F.when(positive, 1)).alias("n_pos"), F.sum("items").alias("s_items"))
 
 
 def unpack(packed: DataFrame) -> DataFrame:
     """One row per cell, with the binary label."""
-    flat = packed.select("customer_id", "product_id", F.explode("cells").alias("cell"))
+    flat = packed.select("customer_id", "product_id", "bought", F.explode("weeks").alias("w"))
     return label_target(flat.select(
-        "customer_id", "product_id", F.col("cell.week").alias("week"),
-        F.col("cell.items").alias("items"),
-        F.col("cell.week_total").alias("total_weekly_purchase")))
+        "customer_id", "product_id", F.col("w.week").alias("week"),
+        F.coalesce(F.col("bought")[F.col("w.week")], F.lit(0.0)).alias("items"),
+        F.col("w.week_total").alias("total_weekly_purchase")))
 
 
 def label_target(grid: DataFrame) -> DataFrame:
@@ -92,21 +95,41 @@ def split_pos_neg(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
     return grid.filter(F.col("items") > 0), grid.filter(F.col("items") == 0)
 
 
-def grid_per_customer(tx_sold: DataFrame, cust: DataFrame) -> DataFrame:
-    """Grid keys with the customer's attributes; customers missing from ``cust`` leave."""
-    pairs = tx_sold.select("customer_id", "product_id").distinct()
-    weeks = (tx_sold.groupBy("customer_id")
-             .agg(F.collect_set("week").alias("weeks"), F.count("*").alias("sold_cells")))
-    limit = tx_sold.agg(F.count("*").alias("n")).scalar() / F.lit(HEAVY_SHARE)
-    weeks = weeks.join(cust, "customer_id")
-    heavy, light = (weeks.filter(F.col("sold_cells") > limit),
-                    weeks.filter(F.col("sold_cells") <= limit))
-    joined = (pairs.join(F.broadcast(heavy), "customer_id")
-              .unionByName(pairs.join(light, "customer_id")))
-    return (joined.drop("sold_cells").withColumn("week", F.explode("weeks")).drop("weeks")
+def grid_per_customer(sold: DataFrame, cust: DataFrame,
+                      heavy_share: int = HEAVY_SHARE) -> DataFrame:
+    """Grid keys with the customer's attributes; customers missing from ``cust`` leave, and one
+    that is repeated there repeats its cells."""
+    sold = sold.dropna(subset=["customer_id", "week"])
+    pairs = sold.select("customer_id", "product_id").distinct()
+    weeks = sold.groupBy("customer_id").agg(
+        F.collect_set("week").alias("weeks"), F.count("*").alias("sold_cells"))
+    joined = _join_weeks(pairs, weeks.join(cust, "customer_id"), sold, heavy_share)
+    return (joined.withColumn("week", F.explode("weeks"))
             .select(*CELL, *[c for c in cust.columns if c != "customer_id"]))
 
 
 def grid_labeled(sold: DataFrame, cust: DataFrame) -> DataFrame:
     """Every grid cell with its items and label (items >= 0)."""
     return unpack(packed_grid(sold, cust)).drop("total_weekly_purchase")
+
+
+def grid_sizes(sold: DataFrame, cust: DataFrame) -> DataFrame:
+    """One row: bought and unbought cells of the labelled grid, from the sold cells alone.
+
+    A customer has products x weeks cells, so nothing has to be expanded to count them.
+    """
+    known = (sold.dropna(subset=["customer_id", "week"])
+             .join(cust.select("customer_id"), "customer_id", "left_semi"))
+    products = (known.select("customer_id", "product_id").distinct()
+                .groupBy("customer_id").agg(F.count("*").alias("products")))
+    weeks = known.groupBy("customer_id", "week").agg(
+        F.count(F.when(F.col("items") > 0, 1)).alias("bought"),
+        F.count(F.when(F.col("items") < 0, 1)).alias("negative"))
+    weeks = weeks.groupBy("customer_id").agg(
+        F.count("*").alias("weeks"), F.sum("bought").alias("bought"),
+        F.sum("negative").alias("negative"))
+    cells = F.col("products") * F.col("weeks")
+    return products.join(weeks, "customer_id").agg(
+        F.coalesce(F.sum("bought"), F.lit(0)).alias("bought"),
+        F.coalesce(F.sum(cells - F.col("bought") - F.col("negative")), F.lit(0))
+        .alias("unbought"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartwheel.functions import hash_bucket, hash_order
-from cartwheel.operators.sales import CELL
+from cartwheel.session import stage
 
 
 def _cut(counts: DataFrame, wanted: Column, short: Column) -> DataFrame:
@@ -53,17 +53,48 @@ def take_in_order(df: DataFrame, wanted: Column, bucket: Column, order: list[Col
 
 
 def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
-                    n_pos: Column | None = None) -> DataFrame:
+                    sizes: tuple[int, int] | None = None) -> DataFrame:
     """All bought cells and equally many not-bought ones, drawn without replacement.
 
-    The draw takes the smallest md5 values of (cell key, seed). ``n_pos`` may pass a scalar
-    subquery with the number of bought cells when it is known from a smaller table.
+    The draw takes the smallest md5 values of (cell key, seed). ``sizes`` = (bought, not bought)
+    saves a counting pass when the caller knows them. One pass over the grid keeps the bought
+    cells and slightly more candidates than needed, and writes them; the exact cut is then found
+    on that small table. A draw that came out short is repeated with twice the margin.
     """
-    if n_pos is None:
-        n_pos = grid.filter(F.col("items") > 0).agg(F.count("*").alias("n")).scalar()
+    if sizes is None:
+        sizes = tuple(grid.agg(F.count(F.when(F.col("items") > 0, 1)),
+                               F.count(F.when(F.col("items") == 0, 1))).first())
+    wanted, available = sizes
+    if available < wanted:
+        if on_short == "raise":
+            raise ValueError(f"{available} cells to sample from, {wanted} wanted")
+        return grid.filter(F.col("items") >= 0)
     rows = (grid.filter(F.col("items") >= 0)
-            .withColumn("_h", hash_order(CELL, seed)))
-    picked = take_in_order(rows, n_pos, hash_bucket(F.col("_h")),
-                           [F.col("_h"), *[F.col(c) for c in CELL]],
-                           on_short=on_short, always=F.col("items") > 0)
-    return picked.drop("_h")
+            .withColumn("_h", hash_order(["customer_id", "product_id", F.unix_date("week")], seed)))
+    bought, unbought = F.col("items") > 0, F.col("items") == 0
+    margin = 6 * wanted ** 0.5 + 16
+    while True:
+        share = (wanted + margin) / max(available, 1)
+        low = F.lit(True) if share >= 1 else F.col("_h") < f"{int(share * 16 ** 8):08x}"
+        near = stage(rows.filter(bought | (unbought & low)), "near")
+        cut = _cut_hash(near.filter(unbought), wanted)
+        if cut is not None or share >= 1:
+            break
+        margin *= 2
+    if cut is None:
+        return near.filter(bought).drop("_h")
+    return near.filter(bought | (F.col("_h") <= cut)).drop("_h")
+
+
+def _cut_hash(rows: DataFrame, wanted: int) -> str | None:
+    """The ``wanted``-th smallest ``_h``: bucket counts find its bucket, one bucket is ranked."""
+    if wanted == 0:
+        return None
+    counts = rows.groupBy(hash_bucket(F.col("_h")).alias("bucket")).agg(F.count("*").alias("n"))
+    none = F.lit(None).cast("struct<bucket:string,need:bigint>")
+    cut = _cut(counts, F.lit(wanted).cast("long"), none).first().cut
+    if cut is None:
+        return None
+    rank = F.row_number().over(Window.orderBy("_h"))
+    inside = rows.filter(hash_bucket(F.col("_h")) == cut.bucket).select("_h")
+    return inside.withColumn("_r", rank).filter(F.col("_r") == cut.need).first()._h

@@ -38,7 +38,8 @@ cells AS (
   UNION ALL
   SELECT * EXCLUDE (r) FROM (
     SELECT *, row_number() OVER (
-        ORDER BY md5(concat_ws('|', customer_id, product_id, week, '42')),
+        ORDER BY md5(concat_ws('|', customer_id, product_id,
+                               week - DATE '1970-01-01', '42')),
                  customer_id, product_id, week) AS r
     FROM grid WHERE items = 0)
   WHERE r <= (SELECT count(*) FROM grid WHERE items > 0))"""

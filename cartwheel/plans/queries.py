@@ -10,7 +10,7 @@ from cartwheel.functions import (
     days_between, iso_week, month_number, next_week, round_half_even, week_start, yyyymmdd,
 )
 from cartwheel.operators import cross, grid, metrics, recommend, sales, splits, tables
-from cartwheel.operators.features import zone_features as zones_of
+from cartwheel.operators.features import pair_summary, zone_features as zones_of
 from cartwheel.plans.training import balanced_cells, staged_sales, training_set_v2
 from cartwheel.plans.training_v1 import attach_history, training_set_v1
 from cartwheel.schemas import CUSTOMERS
@@ -205,7 +205,7 @@ def _feature(*names) -> Callable:
 
 def zone_features(spark, folder):
     c = star.customers(spark, folder)
-    return zones_of(grid_labeled(spark, folder), c)
+    return zones_of(pair_summary(grid.packed_grid(_sold(spark, folder), c)), c)
 
 
 def training_v1(spark, folder):

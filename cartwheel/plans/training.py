@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from cartwheel.operators.features import packed_features, purchase_features
-from cartwheel.operators.grid import packed_grid, unpack
+from cartwheel.operators.features import (
+    carried_labels, customer_stats, packed_features, pair_summary, product_stats,
+)
+from cartwheel.operators.grid import grid_sizes, pack, packed_grid, unpack
 from cartwheel.operators.sales import fan_out, weekly_sales
 from cartwheel.operators.sampling import balanced_sample
 from cartwheel.session import stage
@@ -19,9 +21,27 @@ def staged_sales(tx: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
 
 def balanced_cells(sold: DataFrame, cust: DataFrame, seed: int = 42,
                    on_short: str = "raise") -> DataFrame:
-    known = sold.join(cust.select("customer_id"), "customer_id", "left_semi")
-    n_pos = known.agg(F.count(F.when(F.col("items") > 0, 1)).alias("n")).scalar()
-    return balanced_sample(unpack(packed_grid(sold, cust)), seed, on_short, n_pos)
+    """Bought cells and as many unbought ones, from a grid that is expanded once."""
+    sizes = grid_sizes(sold, cust).first()
+    return balanced_sample(unpack(packed_grid(sold, cust)), seed, on_short,
+                           (sizes.bought, sizes.unbought))
+
+
+def features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
+    """Feature columns for every cell of a packed grid.
+
+    The pair table and both statistics tables are written first. They are small next to the grid,
+    and as files they have a size the planner knows when it chooses between broadcast and shuffle.
+    """
+    pairs = stage(pair_summary(packed), "pairs")
+    by_customer = stage(customer_stats(pairs, cust), "customers")
+    by_product = stage(product_stats(pairs, prod), "products")
+    return packed_features(packed, carried_labels(pairs), by_customer, by_product)
+
+
+def purchase_features(rows: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
+    """The same for a table of labelled cells (customer_id, product_id, week, items)."""
+    return features(pack(rows), cust, prod)
 
 
 def training_set_v2(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int = 42,
@@ -29,10 +49,9 @@ def training_set_v2(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int =
     """Labelled cells with purchase, recency and zone features.
 
     ``balance=True``: features over all bought and equally many not-bought cells (training).
-    ``balance=False``: features over the whole grid (scoring); the grid is never shuffled.
+    ``balance=False``: features over the whole grid (scoring); its cells are never shuffled.
     """
     sold = staged_sales(tx, cust, prod)
     if not balance:
-        return packed_features(packed_grid(sold, cust), cust, prod)
-    cells = stage(balanced_cells(sold, cust, seed, on_short), "cells")
-    return purchase_features(cells, cust, prod)
+        return features(packed_grid(sold, cust), cust, prod)
+    return purchase_features(balanced_cells(sold, cust, seed, on_short), cust, prod)
