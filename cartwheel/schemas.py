@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "long": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "string": T.StringType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _fields(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema from "name type, ..." without needing a running session."""
+    pairs = (part.split() for part in spec.split(", "))
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 TRANSACTIONS = _fields(
