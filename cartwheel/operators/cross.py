@@ -81,7 +81,9 @@ def _shuffle_numbers(df: DataFrame, sizes: AxisSizes, seed: int) -> DataFrame:
                                     ("w", ("c", "p"), sizes.weeks),
                                     ("p", ("c", "w"), sizes.products)):
             shift = hash_long(F.lit(f"{turn}{digit}"), F.lit(seed), *others)
-            df = df.withColumn(digit, (F.col(digit) + shift) % F.lit(size))
+            # never null, and declared so: a null filter pushed down through all steps would
+            # evaluate the whole chain once more per step
+            df = df.withColumn(digit, F.coalesce((F.col(digit) + shift) % F.lit(size), F.lit(0)))
     return df
 
 
