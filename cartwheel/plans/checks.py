@@ -179,6 +179,24 @@ wks AS (SELECT week, CASE WHEN pos < floor(0.7e0 * n) THEN 'train'
                           WHEN pos < floor(0.85e0 * n) THEN 'val' ELSE 'test' END AS split
         FROM wkn)"""
 
+_GAPPY = """,
+gappy AS (
+  SELECT t.customer_id, t.product_id, t.order_id, t.items, p.size, p.brand, p.segment
+  FROM tx t LEFT JOIN (SELECT * FROM prod WHERE size > 10) p USING (product_id)),
+filled AS (SELECT * REPLACE (coalesce(CAST(size AS DOUBLE), (SELECT avg(size) FROM gappy)) AS size)
+           FROM gappy)"""
+
+_CODES = """,
+seen AS (SELECT * FROM prod WHERE size > 25),
+b AS (SELECT brand, row_number() OVER (ORDER BY brand) AS k FROM (SELECT DISTINCT brand FROM seen)),
+g AS (SELECT segment, row_number() OVER (ORDER BY segment) AS k
+      FROM (SELECT DISTINCT segment FROM seen)),
+z AS (SELECT size, row_number() OVER (ORDER BY size) AS k FROM (SELECT DISTINCT size FROM seen)),
+coded AS (
+  SELECT p.product_id, CAST(b.k AS INT) AS bk, CAST(g.k AS INT) AS gk, CAST(z.k AS INT) AS zk
+  FROM prod p LEFT JOIN b ON p.brand = b.brand LEFT JOIN g ON p.segment = g.segment
+  LEFT JOIN z ON p.size = z.size)"""
+
 _REPORT = _JUDGED + """,
 k(class) AS (VALUES (0), (1)),
 per AS (
@@ -371,6 +389,40 @@ FROM (SELECT experiment, max(valid_f1) AS best_f1, arg_max(valid_f1, trial) AS c
 SELECT CAST(date_trunc('week', ts) AS DATE) AS week, event_type, count(*) AS rows,
        round(sum(value), 6) AS total
 FROM events GROUP BY 1, 2""",
+    "standard_scale": _sql("""
+SELECT customer_id, product_id, order_id,
+       round((items - avg(items) OVER ()) / stddev_pop(items) OVER (), 6) AS items_scaled,
+       round((size - avg(size) OVER ()) / stddev_pop(size) OVER (), 6) AS size_scaled
+FROM filled""", _GAPPY),
+    "minmax_scale": _sql("""
+SELECT customer_id, product_id, order_id,
+       round((items - min(items) OVER ()) / (max(items) OVER () - min(items) OVER ()), 6)
+           AS items_scaled,
+       round((size - min(size) OVER ()) / (max(size) OVER () - min(size) OVER ()), 6)
+           AS size_scaled
+FROM filled""", _GAPPY),
+    "impute_numeric": _sql("""
+SELECT customer_id, product_id, order_id, items, round(size, 6) AS size_filled FROM filled""",
+                           _GAPPY),
+    "impute_mode": _sql("""
+SELECT customer_id, product_id, order_id, items,
+       coalesce(brand, (SELECT brand FROM gappy WHERE brand IS NOT NULL GROUP BY 1
+                        ORDER BY count(*) DESC, brand LIMIT 1)) AS brand_text,
+       coalesce(segment, (SELECT segment FROM gappy WHERE segment IS NOT NULL GROUP BY 1
+                          ORDER BY count(*) DESC, segment LIMIT 1)) AS segment_text
+FROM gappy""", _GAPPY),
+    "encode_onehot": _sql("""
+SELECT product_id, coalesce(bk, 0) AS brand_slot, coalesce(gk, 0) AS segment_slot,
+       coalesce(zk, 0) AS size_slot, CAST((SELECT count(*) FROM b) AS INT) AS brand_slots,
+       CAST((SELECT count(*) FROM g) AS INT) AS segment_slots,
+       CAST((SELECT count(*) FROM z) AS INT) AS size_slots
+FROM coded""", _CODES),
+    "encode_ordinal": _sql("""
+SELECT product_id, coalesce(bk - 1, -1) AS brand_code, coalesce(gk - 1, -1) AS segment_code,
+       coalesce(zk - 1, -1) AS size_code FROM coded""", _CODES),
+    "date_features": _sql("""
+SELECT customer_id, product_id, sold.week, CAST(month(sold.week) AS INT) AS month,
+       CAST(weekofyear(sold.week) AS INT) AS week1 FROM sold"""),
     "training_set_v2": _sql("SELECT * FROM features", _BALANCED, _FEATURES),
     "scoring_set_v2": _sql("SELECT * FROM features", _SCORED, _FEATURES),
     "training_set_v1": _sql("""

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel.functions import (
     days_between, iso_week, month_number, next_week, round_half_even, week_start, yyyymmdd,
 )
-from cartwheel.operators import cross, grid, metrics, recommend, sales, splits, tables
+from cartwheel.operators import cross, drift, grid, metrics, recommend, sales, splits, tables
 from cartwheel.operators.features import pair_summary, zone_features as zones_of
+from cartwheel.plans import prep, train
 from cartwheel.plans.training import balanced_cells, staged_sales, training_set_v2
-from cartwheel.plans.training_v1 import attach_history, training_set_v1
-from cartwheel.schemas import CUSTOMERS
-from cartwheel.session import scratch_path
+from cartwheel.plans.training_v1 import training_set_v1
+from cartwheel.schemas import CUSTOMERS, NUMERIC_V2
+from cartwheel.session import scratch_path, stage
 from cartwheel.sources import files, registry, star
 from cartwheel.sources.tables import date_range, read_features_csv, write_features
 
@@ -338,6 +341,115 @@ def weekly_window_events(spark, folder):
         F.col("week"), "event_type", "rows", F.round("total", 6).alias("total"))
 
 
+# --- preprocessing, model and drift ------------------------------------------------------------
+
+# Small trees keep the registered model queries short; the library defaults are in train.py.
+_QUICK = {"imputer_strategy": ["mean"], "scaler": ["standard", "minmax"],
+          "encoder": ["onehot", "ordinal"], "n_estimators": (3, 5), "max_depth": (3, 4),
+          "learning_rate": (0.1, 0.3), "subsample": (0.7, 1.0), "colsample_bytree": (0.7, 1.0)}
+
+
+def _gappy(spark, folder) -> DataFrame:
+    """Transactions enriched with larger products only, so that attributes have gaps."""
+    tx, _, p = _inputs(spark, folder)
+    return tx.join(p.filter(F.col("size") > 10), "product_id", "left").select(
+        "customer_id", "product_id", "order_id", "items", "size", "brand", "segment", "package")
+
+
+def _rounded(spark, folder, kind):
+    df = _gappy(spark, folder)
+    scaled = prep.numeric_scaler(df, ["items", "size"], kind).transform(df)
+    return scaled.select("customer_id", "product_id", "order_id",
+                         F.round("items_scaled", 6).alias("items_scaled"),
+                         F.round("size_scaled", 6).alias("size_scaled"))
+
+
+def standard_scale(spark, folder):
+    return _rounded(spark, folder, "standard")
+
+
+def minmax_scale(spark, folder):
+    return _rounded(spark, folder, "minmax")
+
+
+def impute_numeric(spark, folder):
+    df = _gappy(spark, folder)
+    filled = prep.numeric_imputer(df, ["size"], "mean").transform(df)
+    return filled.select("customer_id", "product_id", "order_id", "items",
+                         F.round("size_filled", 6).alias("size_filled"))
+
+
+def impute_mode(spark, folder):
+    df = _gappy(spark, folder)
+    return prep.mode_imputer(df, ["brand", "segment"]).transform(df).select(
+        "customer_id", "product_id", "order_id", "items", "brand_text", "segment_text")
+
+
+def _encoded(spark, folder, kind):
+    """Codes fitted on products of size 26 and more, applied to all products: the LOW segment
+    and some sizes are unknown to the encoder."""
+    p = star.products(spark, folder)
+    stages = prep.category_encoder(p.filter(F.col("size") > 25), ["brand", "segment", "size"], kind)
+    return PipelineModel(stages).transform(p)
+
+
+def encode_onehot(spark, folder):
+    slots = {c: vector_to_array(f"{c}_code") for c in ("brand", "segment", "size")}
+    return _encoded(spark, folder, "onehot").select("product_id", *[
+        F.array_position(v, 1.0).cast("int").alias(f"{c}_slot") for c, v in slots.items()],
+        *[F.size(v).alias(f"{c}_slots") for c, v in slots.items()])
+
+
+def encode_ordinal(spark, folder):
+    return _encoded(spark, folder, "ordinal").select("product_id", *[
+        F.col(f"{c}_code").cast("int").alias(f"{c}_code") for c in ("brand", "segment", "size")])
+
+
+def date_features(spark, folder):
+    return prep.date_extractor("week").transform(_sold(spark, folder)).select(
+        *CELL, "month", "week1")
+
+
+def _split_table(spark, folder) -> DataFrame:
+    return stage(splits.temporal_split(training_v2(spark, folder)), "split")
+
+
+def _quick_model(table, trees=5):
+    part = table.filter(F.col("split") == "train").drop("split")
+    return train.fit_model(part, {"n_estimators": trees, "max_depth": 4, "learning_rate": 0.3})
+
+
+def train_and_score(spark, folder):
+    table = _split_table(spark, folder)
+    model = _quick_model(table)
+    return train.score_positive(model, table.filter(F.col("split") == "test")).select(
+        *CELL, "target", "split")
+
+
+def feature_importance(spark, folder):
+    table = _split_table(spark, folder)
+    return train.feature_importance(_quick_model(table), table)
+
+
+def hyperparameter_search(spark, folder):
+    table = _split_table(spark, folder)
+    parts = [table.filter(F.col("split") == s).drop("split") for s in ("train", "val")]
+    return train.search(*parts, space=_QUICK, n_trials=train.N_TRIALS)[1]
+
+
+def _newest_drift(spark, folder) -> DataFrame:
+    ref, new = tables.latest_week_split(stage(training_v2(spark, folder), "drift"))
+    return drift.mmd_drift(ref, new, NUMERIC_V2)
+
+
+def mmd_rff(spark, folder):
+    return _newest_drift(spark, folder)
+
+
+def drift_decision(spark, folder):
+    return drift.drift_decision(_newest_drift(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         scan_transactions, scan_dimensions, csv_roundtrip, archive_range, detect_new_files,
@@ -349,7 +461,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rec_known_customers, rec_backfill, predict_filter, predict_json,
         recommendation_message, filter_options, score_positive, class_weight, f1_score,
         classification_report, runs_search, best_run, optimization_history,
-        degradation_decision, weekly_window_events)
+        degradation_decision, weekly_window_events, standard_scale, minmax_scale,
+        impute_numeric, impute_mode, encode_onehot, encode_ordinal, date_features,
+        train_and_score, feature_importance, hyperparameter_search, mmd_rff, drift_decision)
 }
 QUERIES.update({
     "training_set_v2": training_v2,
