@@ -59,6 +59,37 @@ def next_week_summary(tx_week: DataFrame, cust: DataFrame, prod: DataFrame) -> D
         "candidates", F.col("customers") * F.col("products"))
 
 
+def next_week_candidates(tx_week: DataFrame, requests: DataFrame, cust: DataFrame,
+                         prod: DataFrame, products_per_bucket: int = 10_000) -> DataFrame:
+    """Next week's (customer, product, week) candidates of the requested customers.
+
+    A request names a customer and optionally brands and packages; a null or empty list admits
+    every product. Requests are expanded to the brands they admit and meet the products in an
+    equi-join on brand, so the work follows the size of the answer. Large brands are spread over
+    hash buckets, which split the products of a brand evenly.
+    """
+    buckets = -(-prod.count() // products_per_bucket) or 1
+    brands = prod.select("brand").distinct().agg(
+        F.collect_set(F.struct("brand")).alias("all")).scalar()  # one entry per brand
+    asked = (requests.join(cust.select(F.col("customer_id").cast("string").alias("_c"),
+                                       F.col("customer_id").alias("_id")).distinct(),
+                           F.col("customer_id") == F.col("_c"))
+             .select(F.col("_id").alias("customer_id"), "brands", "packages").distinct())
+    named = F.transform(F.array_distinct("brands"), lambda b: F.struct(b.alias("brand")))
+    open_brands = F.col("brands").isNull() | (F.size("brands") == 0)
+    asked = (asked.withColumn("_b", F.explode(F.when(open_brands, brands).otherwise(named)))
+             .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+             .select("customer_id", F.col("_b.brand").alias("_brand"), "_part", "packages"))
+    shelf = prod.select("product_id", "brand", "package").withColumn(
+        "_shelf", F.pmod(F.xxhash64("product_id"), F.lit(buckets)))
+    fits = (F.col("packages").isNull() | (F.size("packages") == 0)
+            | F.array_contains("packages", F.col("package")))
+    week = tx_week.agg(next_week(F.max("week"))).scalar()
+    return (asked.join(shelf, F.col("_brand").eqNullSafe(F.col("brand"))
+                       & (F.col("_part") == F.col("_shelf")) & fits)
+            .select("customer_id", "product_id").distinct().withColumn("week", week))
+
+
 @dataclass(frozen=True)
 class AxisSizes:
     customers: int

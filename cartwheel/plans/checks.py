@@ -167,6 +167,13 @@ bask AS (
     SELECT customer_id, date_trunc('week', purchase_date) AS wk, count(*) AS n
     FROM dtx GROUP BY 1, 2) GROUP BY 1)"""
 
+_NEXT = """,
+nxt AS (
+  SELECT customer_id, product_id, (SELECT max(week) FROM sold) + 7 AS week
+  FROM cust JOIN prod
+    ON brand IN ('Brand#' || CAST(1 + customer_id % 25 AS VARCHAR), 'Brand#3')
+   AND (customer_id % 3 <> 0 OR package IN ('hot', 'small')))"""
+
 _MANIFEST = """,
 months AS (SELECT DISTINCT strftime(purchase_date, '%Y%m') AS m FROM tx),
 old AS (SELECT m FROM months
@@ -304,7 +311,16 @@ SELECT week, nc * np AS cells, bought, negative, nc * np - bought - negative AS
 FROM (SELECT week, count(*) FILTER (items > 0) AS bought, count(*) FILTER (items < 0) AS negative
       FROM sold GROUP BY 1),
      (SELECT count(DISTINCT customer_id) AS nc, count(DISTINCT product_id) AS np FROM sold)"""),
-    "grid_next_week": _sql("""
+    "grid_next_week": _sql("SELECT customer_id, product_id, week FROM nxt", _NEXT),
+    "scoring_set_v1": _sql("""
+SELECT c.customer_id, c.product_id, c.week, "Periodicity", num_orders, avg_items,
+       d.* EXCLUDE (customer_id), p.* EXCLUDE (product_id)
+FROM (SELECT customer_id, product_id, week, coalesce("Periodicity", 0) AS "Periodicity",
+             coalesce(num_orders, 0) AS num_orders, coalesce(avg_items, 0) AS avg_items
+      FROM nxt LEFT JOIN per USING (product_id) LEFT JOIN ords USING (customer_id)
+      LEFT JOIN bask USING (customer_id)) c
+LEFT JOIN prod p USING (product_id) LEFT JOIN cust d USING (customer_id)""", _NEXT, _V1_HISTORY),
+    "grid_next_week_size": _sql("""
 SELECT w AS week, c AS customers, p AS products, c * p AS candidates
 FROM (SELECT (SELECT max(week) FROM sold) + 7 AS w, (SELECT count(*) FROM cust) AS c,
              (SELECT count(*) FROM prod) AS p)"""),

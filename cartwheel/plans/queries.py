@@ -15,7 +15,7 @@ from cartwheel.operators import cross, drift, grid, metrics, recommend, sales, s
 from cartwheel.operators.features import pair_summary, zone_features as zones_of
 from cartwheel.plans import prep, train
 from cartwheel.plans.training import balanced_cells, staged_sales, training_set_v2
-from cartwheel.plans.training_v1 import training_set_v1
+from cartwheel.plans.training_v1 import scoring_set_v1, training_set_v1
 from cartwheel.schemas import CUSTOMERS, NUMERIC_V2
 from cartwheel.session import scratch_path, stage
 from cartwheel.sources import files, registry, star
@@ -33,6 +33,12 @@ def _sold(spark, folder) -> DataFrame:
     return sales.weekly_sales(tables.dedupe(star.transactions(spark, folder)))
 
 
+def _staged(spark, folder) -> tuple[DataFrame, DataFrame]:
+    """(weekly cells as a written table, customers): the grid reads its cells more than once."""
+    tx, c, p = _inputs(spark, folder)
+    return staged_sales(tx, c, p), c
+
+
 def _judged(spark, folder) -> DataFrame:
     """Weekly cells with a label (more than 25 items) and a rule's prediction (size above 25)."""
     cells = _sold(spark, folder).join(star.products(spark, folder), "product_id")
@@ -102,11 +108,11 @@ def weekly_sales(spark, folder):
 
 
 def grid_per_customer(spark, folder):
-    return grid.grid_per_customer(_sold(spark, folder), star.customers(spark, folder))
+    return grid.grid_per_customer(*_staged(spark, folder))
 
 
 def grid_labeled(spark, folder):
-    return grid.grid_labeled(_sold(spark, folder), star.customers(spark, folder))
+    return grid.grid_labeled(*_staged(spark, folder))
 
 
 def label_target(spark, folder):
@@ -173,8 +179,7 @@ def zone_round(spark, folder):
 # --- samples and splits -------------------------------------------------------------------------
 
 def balanced_sample(spark, folder):
-    tx, c, p = _inputs(spark, folder)
-    return balanced_cells(staged_sales(tx, c, p), c)
+    return balanced_cells(*_staged(spark, folder))
 
 
 def temporal_split(spark, folder):
@@ -207,8 +212,8 @@ def _feature(*names) -> Callable:
 
 
 def zone_features(spark, folder):
-    c = star.customers(spark, folder)
-    return zones_of(pair_summary(grid.packed_grid(_sold(spark, folder), c)), c)
+    sold, c = _staged(spark, folder)
+    return zones_of(pair_summary(grid.packed_grid(sold, c)), c)
 
 
 def training_v1(spark, folder):
@@ -219,11 +224,30 @@ def grid_full_cross(spark, folder):
     return cross.cross_summary(_sold(spark, folder))
 
 
-def grid_next_week(spark, folder):
+def grid_next_week_size(spark, folder):
     _, c, p = _inputs(spark, folder)
     return cross.next_week_summary(_sold(spark, folder), c, p)
 
 
+def _brand_requests(spark, folder) -> DataFrame:
+    """Every customer asks for two brands; every third one for two packages as well."""
+    key = F.col("customer_id")
+    brands = F.array(F.concat(F.lit("Brand#"), (1 + key % 25).cast("string")), F.lit("Brand#3"))
+    return star.customers(spark, folder).select(
+        key.cast("string").alias("customer_id"), brands.alias("brands"),
+        F.when(key % 3 == 0, F.array(F.lit("hot"), F.lit("small"))).alias("packages"))
+
+
+def grid_next_week(spark, folder):
+    _, c, p = _inputs(spark, folder)
+    return cross.next_week_candidates(_sold(spark, folder), _brand_requests(spark, folder), c, p)
+
+
+def scoring_v1(spark, folder):
+    tx, c, p = _inputs(spark, folder)
+    return scoring_set_v1(tx, _brand_requests(spark, folder), c, p)
+
+
 # --- recommendations -----------------------------------------------------------------------------
 
 def _requests(spark, folder) -> DataFrame:
@@ -457,7 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         grid_per_customer, grid_labeled, label_target, split_pos_neg, fill_nulls, top_products,
         rec_history, avg_items, num_orders, periodicity, periodicity_timestamp,
         calendar_features, zone_round, balanced_sample, temporal_split, random_split,
-        latest_week_split, zone_features, grid_full_cross, grid_next_week, recommend_batch,
+        latest_week_split, zone_features, grid_full_cross, grid_next_week, grid_next_week_size, recommend_batch,
         rec_known_customers, rec_backfill, predict_filter, predict_json,
         recommendation_message, filter_options, score_positive, class_weight, f1_score,
         classification_report, runs_search, best_run, optimization_history,
@@ -469,6 +493,7 @@ QUERIES.update({
     "training_set_v2": training_v2,
     "scoring_set_v2": scoring_v2,
     "training_set_v1": training_v1,
+    "scoring_set_v1": scoring_v1,
     "total_weekly_purchase": _feature("total_weekly_purchase"),
     "customer_avg_purchase": _feature("customer_avg_purchase"),
     "recent_purchase_trend": _feature("recent_purchase_trend"),

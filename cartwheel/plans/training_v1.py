@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cartwheel.operators.cross import balanced_cross
+from cartwheel.operators.cross import balanced_cross, next_week_candidates
 from cartwheel.operators.grid import label_target
-from cartwheel.operators.sales import avg_items, num_orders, periodicity
+from cartwheel.operators.sales import avg_items, num_orders, periodicity, with_week
 from cartwheel.operators.tables import fill_nulls
 from cartwheel.plans.training import staged_sales
 
@@ -32,3 +32,11 @@ def training_set_v1(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int =
     sold = staged_sales(tx, cust, prod)
     cells = balanced_cross(tx.sparkSession, sold, seed)
     return label_target(attach_history(cells, tx, cust, prod)).drop("items")
+
+
+def scoring_set_v1(tx: DataFrame, requests: DataFrame, cust: DataFrame,
+                   prod: DataFrame) -> DataFrame:
+    """Next week's candidates of the requested customers with the history columns."""
+    tx = tx.distinct()
+    cells = next_week_candidates(with_week(tx), requests, cust, prod)
+    return attach_history(cells, tx, cust, prod)

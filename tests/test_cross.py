@@ -60,3 +60,19 @@ def test_balanced_cross(spark, sold):
     out = cross.balanced_cross(spark, sold)
     pos = sold.filter("items > 0").count()
     assert out.filter("items > 0").count() == out.filter("items = 0").count() == pos
+
+
+def test_next_week_candidates_against_brute_force(spark, sold):
+    from cartwheel.schemas import CUSTOMERS, PRODUCTS, REQUESTS
+    cust = spark.createDataFrame([(c, 1, 1, "t", 0.0, 0.0, 1, 1) for c in range(3)], CUSTOMERS)
+    shelf = [(p, "ab"[p % 2] if p < 8 else None, "c", "s", "g", "xyz"[p % 3], p)
+             for p in range(10)]
+    asks = [("0", None, None), ("1", ["a", "a", "q"], []), ("2", [], ["x", "z"]),
+            ("99", None, None), ("1", ["a", "a", "q"], [])]
+    got = cross.next_week_candidates(sold, spark.createDataFrame(asks, REQUESTS), cust,
+                                     spark.createDataFrame(shelf, PRODUCTS), 3)
+    week = max(WEEKS) + dt.timedelta(days=7)
+    want = {(int(c), p[0], week) for c, brands, packs in asks if int(c) < 3 for p in shelf
+            if (not brands or p[1] in brands) and (not packs or p[5] in packs)}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
