@@ -147,7 +147,7 @@ def draw_unbought(spark: SparkSession, sold: DataFrame, n: int, seed: int = 42)
              .select("_k", *CELL))
     free = stage(cells.join(known.select(*CELL), CELL, "left_anti"), "unsold")
     width = max(1, -(-draws // BUCKETS))
-    first = take_in_order(free, F.lit(n).cast("long"), F.expr(f"_k div {width}"), [F.col("_k")])
+    first = take_in_order(free, n, F.expr(f"_k div {width}"), [F.col("_k")])
     return first.select(*CELL, F.lit(0.0).alias("items"))
 
 

@@ -8,48 +8,35 @@ from cartwheel.functions import hash_bucket, hash_order
 from cartwheel.session import stage
 
 
-def _cut(counts: DataFrame, wanted: Column, short: Column) -> DataFrame:
-    """One row (bucket, need): buckets before it are taken whole, ``need`` rows of it are taken.
+def _cut(counts: DataFrame, wanted: Column) -> DataFrame:
+    """One row with ``cut`` = (bucket, need): buckets before it are taken whole and ``need`` rows of
+    it are taken; null when there are fewer rows than wanted.
 
     ``counts`` has at most a few ten thousand rows (one per bucket), so the running sum over
     all of them in one task is bounded.
     """
     running = F.sum("n").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
-    reached = F.col("reach") >= F.col("wanted")
     need = F.col("wanted") - F.col("reach") + F.col("n")
-    found = (counts.withColumn("reach", running).withColumn("wanted", wanted)
-             .agg(F.min(F.when(reached, F.struct("bucket", need.alias("need")))).alias("cut"),
-                  F.coalesce(F.max("reach"), F.lit(0)).alias("available")))
-    return found.select(F.when(F.col("available") >= wanted, F.col("cut"))
-                        .otherwise(short).alias("cut"))
+    return (counts.withColumn("reach", running).withColumn("wanted", wanted)
+            .agg(F.min(F.when(F.col("reach") >= F.col("wanted"),
+                              F.struct("bucket", need.alias("need")))).alias("cut")))
 
 
-def take_in_order(df: DataFrame, wanted: Column, bucket: Column, order: list[Column],
-                  on_short: str = "raise", always: Column | None = None) -> DataFrame:
-    """The first ``wanted`` rows of ``df`` by (bucket, order), exactly, plus all rows where
-    ``always`` holds. ``bucket`` must be monotone in the order and split rows evenly.
+def take_in_order(df: DataFrame, wanted: int, bucket: Column, order: list[Column]) -> DataFrame:
+    """The first ``wanted`` rows of ``df`` by (bucket, order), exactly; all of them when there are
+    fewer. ``bucket`` must be monotone in the order and split rows evenly.
 
     Two passes: count rows per bucket, then keep whole buckets below the boundary and rank
     inside buckets. A bucket is the largest group any task sorts.
     """
-    always = F.lit(False) if always is None else always
-    df = df.withColumn("_always", always).withColumn("_bucket", bucket)
-    counts = (df.filter(~F.col("_always")).groupBy(F.col("_bucket").alias("bucket"))
-              .agg(F.count("*").alias("n")))
-    cut_type = f"struct<bucket:{counts.schema['bucket'].dataType.simpleString()},need:bigint>"
-    if on_short == "raise":
-        short = F.raise_error(F.lit("fewer rows to sample from than rows wanted")).cast(cut_type)
-    else:
-        short = F.lit(None).cast(cut_type)
-    cut = _cut(counts, wanted, short).scalar()
+    df = df.withColumn("_bucket", bucket)
+    counts = df.groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n"))
+    cut = _cut(counts, F.lit(wanted).cast("long")).scalar()
     last, need = cut.getField("bucket"), cut.getField("need")
-    whole = last.isNull() if on_short != "raise" else F.lit(False)
-    near = df.filter(F.col("_always") | whole | (F.col("_bucket") <= last))
-    rank = F.row_number().over(Window.partitionBy("_always", "_bucket").orderBy(*order))
-    return (near.withColumn("_rank", rank)
-            .filter(F.col("_always") | whole | (F.col("_bucket") < last)
-                    | (F.col("_rank") <= need))
-            .drop("_always", "_bucket", "_rank"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    return (df.filter(last.isNull() | (F.col("_bucket") <= last)).withColumn("_rank", rank)
+            .filter(last.isNull() | (F.col("_bucket") < last) | (F.col("_rank") <= need))
+            .drop("_bucket", "_rank"))
 
 
 def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
@@ -91,8 +78,7 @@ def _cut_hash(rows: DataFrame, wanted: int) -> str | None:
     if wanted == 0:
         return None
     counts = rows.groupBy(hash_bucket(F.col("_h")).alias("bucket")).agg(F.count("*").alias("n"))
-    none = F.lit(None).cast("struct<bucket:string,need:bigint>")
-    cut = _cut(counts, F.lit(wanted).cast("long"), none).first().cut
+    cut = _cut(counts, F.lit(wanted).cast("long")).first().cut
     if cut is None:
         return None
     rank = F.row_number().over(Window.orderBy("_h"))
