@@ -7,6 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartwheel.llm.common import table
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text, and what decoding them gives back."""
+    import public_tokenizers
+    from cartwheel.llm.pieces_fst import decode_documents, encode_documents
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    back = decode_documents(encode_documents(table(spark, sf_dir, "documents"), model), model)
+    return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "n_chars",
+                       "pieces", F.sha2("text", 256).alias("decoded_sha256"),
+                       F.char_length("text").cast("long").alias("decoded_chars"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.llm.sharding import shard_documents
     rows = shard_documents(table(spark, sf_dir, "documents"))
@@ -21,5 +32,5 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op7_sharding, op8_token_counts)}
+LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op7_sharding, op8_token_counts)}
 LLM_CHECKS: dict[str, str] = {}
