@@ -18,6 +18,11 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.char_length("text").cast("long").alias("decoded_chars"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.llm.lm_mixing import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.llm.sharding import shard_documents
     rows = shard_documents(table(spark, sf_dir, "documents"))
@@ -32,5 +37,5 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op7_sharding, op8_token_counts)}
+LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op6_lm_scoring, op7_sharding, op8_token_counts)}
 LLM_CHECKS: dict[str, str] = {}
