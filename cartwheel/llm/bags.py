@@ -19,16 +19,30 @@ FLUSH = 300_000
 ARROW = {"string": pa.string(), "binary": pa.binary()}
 
 
-def corpus_counts(docs: DataFrame, bag: Callable[[bytes], dict], kind: str) -> DataFrame:
-    """(token, n) over the ``text`` of all rows of ``docs``."""
+def _bags(batch: pa.RecordBatch, bag: Callable[..., dict]) -> Iterator[tuple[bytes, dict]]:
+    """Texts and their bags; a ``mark`` column is handed to ``bag`` too."""
+    texts = texts_of(batch)
+    if "mark" in batch.schema.names:
+        for text, mark in zip(texts, batch.column("mark").to_pylist()):
+            yield text, bag(text, mark)
+    else:
+        for text in texts:
+            yield text, bag(text)
+
+
+def corpus_counts(docs: DataFrame, bag: Callable[..., dict], kind: str) -> DataFrame:
+    """(token, n) over the ``text`` (and ``mark``) of all rows of ``docs``.
+
+    No token may end with a blank.
+    """
     schema = pa.schema([("token", ARROW[kind]), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict = {}
         get = total.get
         for batch in batches:
-            for text in texts_of(batch):
-                for token, n in bag(text).items():
+            for _, found in _bags(batch, bag):
+                for token, n in found.items():
                     total[token] = get(token, 0) + n
                 if len(total) >= FLUSH:
                     yield record(schema, [list(total), list(total.values())])
@@ -36,7 +50,7 @@ def corpus_counts(docs: DataFrame, bag: Callable[[bytes], dict], kind: str) -> D
         if total:
             yield record(schema, [list(total), list(total.values())])
 
-    return (docs.select("text").mapInArrow(count, f"token {kind}, n long")
+    return (docs.select(*[c for c in ("text", "mark") if c in docs.columns]).mapInArrow(count, f"token {kind}, n long")
             .groupBy("token").agg(F.sum("n").alias("n")))
 
 
@@ -54,10 +68,10 @@ def hottest(values: DataFrame, names: list[str], hot: int) -> tuple[dict, np.nda
     return index, matrix
 
 
-def document_sums(docs: DataFrame, bag: Callable[[bytes], dict], values: DataFrame,
+def document_sums(docs: DataFrame, bag: Callable[..., dict], values: DataFrame,
                   names: list[str], kind: str, own: Callable[[bytes, dict], tuple],
                   own_names: list[str], hot: int) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, ``own_names`` (long) and ``names``.
+    """One row per row of ``docs`` (doc_id, text, perhaps mark): doc_id, ``own_names`` (long) and ``names``.
 
     ``own`` measures a document from its text and bag. Each of ``names`` is the sum over the
     document's tokens of count times value (double); a token without a value adds nothing.
@@ -75,12 +89,10 @@ def document_sums(docs: DataFrame, bag: Callable[[bytes], dict], values: DataFra
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, matrix = shared.value
         place = index.get
-        blank = "" if kind == "string" else b""
         for batch in slices(batches):
             ids, marks = batch.column("doc_id").to_pylist(), batch.column("h").to_pylist()
             tokens, counts, doc, mark, heads = [], [], [], [], []
-            for d, h, text in zip(ids, marks, texts_of(batch)):
-                found = bag(text)
+            for d, h, (text, found) in zip(ids, marks, _bags(batch, bag)):
                 at = np.fromiter(map(lambda t: place(t, -1), found), np.int64, len(found))
                 n = np.fromiter(found.values(), np.int64, len(found))
                 warm = at >= 0
@@ -97,12 +109,13 @@ def document_sums(docs: DataFrame, bag: Callable[[bytes], dict], values: DataFra
                 nulls = [pa.nulls(len(tokens), f.type) for f in schema][-rest:]
                 yield record(schema, [doc, mark, tokens, np.concatenate(counts),
                                       np.zeros(len(tokens), np.int64), *nulls])
-            # heads carry a key that no token has (tokens hold no blank), spread by the mark
-            no_token = [f" {h % 4096}" if blank == "" else b" %d" % (h % 4096) for h in marks]
+            # heads carry a key that no token has (none ends with a blank), spread by the mark
+            no_token = [f"{h % 4096} " if kind == "string" else b"%d " % (h % 4096) for h in marks]
             yield record(schema, [ids, marks, no_token, [0] * len(ids), [1] * len(ids),
                                   *[list(c) for c in zip(*heads)]])
 
-    found = (docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("h"))
+    given = [c for c in ("text", "mark") if c in docs.columns]
+    found = (docs.select(F.col("doc_id").cast("long"), *given, F.xxhash64(*given).alias("h"))
              .mapInArrow(rows, ddl))
     summed = (found.join(values.select("token", *names), "token", "left").groupBy("doc_id", "h")
               .agg(F.sum("head").alias("head"), *[F.max(c).alias(c) for c in own_names],
