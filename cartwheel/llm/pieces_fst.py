@@ -41,7 +41,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 #: Distinct cuts whose paths a worker remembers.
-REMEMBERED = 450_000
+REMEMBERED = 350_000
+PAIRS = 300_000
 
 
 def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -113,8 +114,8 @@ class PieceMachine:
         self.steps.update(self.ids)
         if any(MARK in after.get(c, ()) for c in after if c != MARK):
             raise ValueError("pieces that go on after a space mark are not supported")
-        known = "".join(map(re.escape, sorted({d for ds in after.values() for d in ds}
-                                              | set(after) - {MARK})))
+        joined = {d for ds in after.values() for d in ds} | set(after)
+        known = "".join(map(re.escape, sorted(joined - {MARK})))
         self.cuts = re.compile(f"{MARK}*[{known}]+|{MARK}+|.", re.DOTALL)
         self.after = after
         self.pairs: dict[tuple[str, str], bool] = {}
@@ -155,7 +156,7 @@ class PieceMachine:
             return right is not None
         pair = self.pairs.get((last, piece))
         if pair is None:
-            if len(self.pairs) > REMEMBERED:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             (left_merges, ends, _), (right_merges, _, starts) = self.history(last), right
             i = j = 0
@@ -294,41 +295,55 @@ def machine(path: str) -> PieceMachine:
     return PieceMachine(path)
 
 
-def encode_documents(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_chars and ``pieces`` (array of ids) for every row of ``docs`` (doc_id, text)."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()),
-                        ("pieces", pa.list_(pa.int32()))])
+ENCODED = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()),
+                     ("pieces", pa.list_(pa.int32()))])
+DECODED = ENCODED.append(pa.field("text", pa.string()))
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
+    flat = pa.array(np.concatenate(arrays) if arrays else np.empty(0, np.int32), pa.int32())
+    return pa.ListArray.from_arrays(pa.array(ends), flat)
+
+
+def _encoded(docs: DataFrame, model: str, back: bool) -> DataFrame:
+    schema = DECODED if back else ENCODED
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = machine(model)
         for batch in slices(batches, 256):
             texts = [t.decode("utf-8", "replace") for t in texts_of(batch)]
             ids = [fst.encode(t) for t in texts]
-            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            flat = pa.array(np.concatenate(ids), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), flat)], schema=schema)
+            columns = [batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()),
+                       _lists(ids)]
+            if back:
+                columns.append(pa.array([fst.decode(i.tolist()) for i in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    ddl = "doc_id long, n_chars long, pieces array<int>" + ", text string" * back
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, ddl)
+
+
+def encode_documents(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, n_chars and ``pieces`` (array of ids) for every row of ``docs`` (doc_id, text)."""
+    return _encoded(docs, model, False)
+
 
-    return (docs.select(F.col("doc_id").cast("long"), "text")
-            .mapInArrow(encode, "doc_id long, n_chars long, pieces array<int>"))
+def round_trip(docs: DataFrame, model: str) -> DataFrame:
+    """``encode_documents`` with ``text`` read back from the ids in the same pass."""
+    return _encoded(docs, model, True)
 
 
 def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
     """Adds ``text``, read back from ``pieces``, to the columns doc_id, n_chars, pieces."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()),
-                        ("pieces", pa.list_(pa.int32())), ("text", pa.string())])
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = machine(model)
         for batch in slices(batches, 256):
-            pieces = batch.column("pieces")
-            flat, ends = pieces.flatten().to_pylist(), np.cumsum(
-                [0, *(n or 0 for n in pieces.value_lengths().to_pylist())]).tolist()
-            texts = [fst.decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
+            texts = [fst.decode(i) for i in batch.column("pieces").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("n_chars"), pieces,
-                 pa.array(texts, pa.string())], schema=schema)
+                [batch.column("doc_id"), batch.column("n_chars"), batch.column("pieces"),
+                 pa.array(texts, pa.string())], schema=DECODED)
 
     return (encoded.select("doc_id", "n_chars", "pieces")
             .mapInArrow(decode, "doc_id long, n_chars long, pieces array<int>, text string"))

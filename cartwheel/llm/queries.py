@@ -10,9 +10,9 @@ from cartwheel.llm.common import table
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and what decoding them gives back."""
     import public_tokenizers
-    from cartwheel.llm.pieces_fst import decode_documents, encode_documents
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    back = decode_documents(encode_documents(table(spark, sf_dir, "documents"), model), model)
+    from cartwheel.llm.pieces_fst import round_trip
+    back = round_trip(table(spark, sf_dir, "documents"),
+                      public_tokenizers.path("piece_bpe_32k.model"))
     return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "n_chars",
                        "pieces", F.sha2("text", 256).alias("decoded_sha256"),
                        F.char_length("text").cast("long").alias("decoded_chars"))
