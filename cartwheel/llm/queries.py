@@ -37,5 +37,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op6_lm_scoring, op7_sharding, op8_token_counts)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.llm.warc import write_and_read
+    return write_and_read(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op6_lm_scoring, op7_sharding, op8_token_counts, op10_warc)}
 LLM_CHECKS: dict[str, str] = {}
