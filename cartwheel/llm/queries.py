@@ -47,11 +47,18 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.llm.quality import quality_verdicts
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.llm.warc import write_and_read
     return write_and_read(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-LLM_QUERIES = {f.__name__: f for f in (op3_sentencepiece, op4_chat_formatting, op6_lm_scoring, op7_sharding, op8_token_counts, op10_warc)}
+LLM_QUERIES = {f.__name__: f for f in (
+    op3_sentencepiece, op4_chat_formatting, op6_lm_scoring, op7_sharding, op8_token_counts,
+    op9_quality, op10_warc)}
 LLM_CHECKS: dict[str, str] = {}
