@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartwheel.llm.common import table
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.llm.ngram_join import near_components
+    return near_components(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and what decoding them gives back."""
     import public_tokenizers
@@ -59,6 +64,6 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op3_sentencepiece, op4_chat_formatting, op6_lm_scoring, op7_sharding, op8_token_counts,
+    op1_ngram_join, op3_sentencepiece, op4_chat_formatting, op6_lm_scoring, op7_sharding, op8_token_counts,
     op9_quality, op10_warc)}
 LLM_CHECKS: dict[str, str] = {}
