@@ -33,6 +33,12 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_formatted(format_conversations(turns.unionByName(extra)))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only documents that hold an item have rows."""
+    from cartwheel.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cartwheel.llm.lm_mixing import score_documents
     return score_documents(table(spark, sf_dir, "documents"))
@@ -64,6 +70,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op3_sentencepiece, op4_chat_formatting, op6_lm_scoring, op7_sharding, op8_token_counts,
+    op1_ngram_join, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
+    op6_lm_scoring, op7_sharding, op8_token_counts,
     op9_quality, op10_warc)}
 LLM_CHECKS: dict[str, str] = {}
