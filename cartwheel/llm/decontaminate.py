@@ -53,18 +53,22 @@ def clean_words(text: bytes) -> list[bytes]:
     return text.translate(_CLEAN).split()
 
 
-def running_sums(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """(words + 1, 64) running sums of every word's +weight or -weight for each bit."""
+def running_sums(hashes: np.ndarray, lengths: np.ndarray, longest: int) -> np.ndarray:
+    """(words + 1, 64) running sums of every word's +weight or -weight for each bit.
+
+    Sums may wrap around: only differences over at most ``longest`` words are used, which fit.
+    """
+    kind = np.int16 if longest < 4096 else np.int32
     bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
     weight = np.clip(lengths - 1, 1, 8).astype(np.int8)[:, None]
     signed = np.where(bits, weight, -weight)
-    sums = np.zeros((len(hashes) + 1, 64), np.int32)
-    np.cumsum(signed, axis=0, dtype=np.int32, out=sums[1:])
+    sums = np.zeros((len(hashes) + 1, 64), kind)
+    np.cumsum(signed, axis=0, dtype=kind, out=sums[1:])
     return sums
 
 
 def fingerprints(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    return np.packbits(sums[last] > sums[first], axis=1).view(">u8").ravel().astype(np.uint64)
+    return np.packbits(sums[last] - sums[first] > 0, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
 def size_class(n: int) -> int:
@@ -93,7 +97,7 @@ class Screen:
             h = hashed.of(words)
             width = min(WIDTH, len(words))
             shingles.append(set(window_hashes(h, width).tolist()))
-            sums = running_sums(h, np.array(list(map(len, words))))
+            sums = running_sums(h, np.array(list(map(len, words))), len(words))
             prints.append(fingerprints(sums, np.array([0]), np.array([len(words)]))[0])
             self.items.append(Item(item_id, len(words), width, {}, 0.0))
         times: dict = {}
@@ -202,7 +206,8 @@ class Screen:
         begin = np.cumsum(n) - n
         flat = [w for p in pieces for w in p]
         h = hashed.of(flat)
-        sums = running_sums(h, np.fromiter(map(len, flat), np.int64, len(flat)))
+        sums = running_sums(h, np.fromiter(map(len, flat), np.int64, len(flat)),
+                            2 * max(i.n for i in self.items))
         traces = {}  # per width: running count of windows whose shingle some item has
         for width, known in self.known.items():
             s = window_hashes(h, width)
