@@ -12,6 +12,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_components(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cartwheel.llm.html_hosts import main_texts
+    return main_texts(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text, and what decoding them gives back."""
     import public_tokenizers
@@ -70,7 +76,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (
-    op1_ngram_join, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
+    op1_ngram_join, op2_html_extraction, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
     op6_lm_scoring, op7_sharding, op8_token_counts,
     op9_quality, op10_warc)}
 LLM_CHECKS: dict[str, str] = {}
