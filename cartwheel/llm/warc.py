@@ -94,28 +94,30 @@ def plan_records(pages: DataFrame) -> DataFrame:
     """
     full = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"),
                         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    full = full.withColumn("digest", F.sha1("payload"))
-    same = ["page_id", "url", "digest"]
-    narrow = (full.select(*same, F.octet_length("payload").cast("long").alias("size"))
-              .groupBy(*same, "size").agg(F.count("*").alias("times")))
+    # one string names a row's page, payload and url, so that joins and groups share a shuffle
+    full = full.withColumn("digest", F.sha1("payload")).withColumn("key", F.sha2(F.concat_ws(
+        "|", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest",
+        F.when(F.col("url").isNull(), "").otherwise(F.concat(F.lit("="), "url"))), 256))
+    narrow = (full.select("key", "page_id", "url", "digest",
+                          F.octet_length("payload").cast("long").alias("size"))
+              .groupBy("key").agg(*[F.first(c).alias(c) for c in ("page_id", "url", "digest",
+                                                                  "size")],
+                                  F.count("*").alias("times")))
     copies = (narrow.groupBy("digest")
               .agg(F.max(F.struct("page_id", "url")).alias("kept"), F.sum("times").alias("all"))
               .filter("all > 1").select("digest", "kept"))
     decided = stage(narrow.join(copies, "digest", "left").withColumn(
         "is_kept", F.col("kept").isNull()
         | F.col("kept").eqNullSafe(F.struct("page_id", "url"))), "warc-plan")
-    keep = decided.filter("is_kept").select(*same, "size")
-    a, b = full.alias("a"), keep.alias("b")
-    bodies = (a.join(b, (F.col("a.digest") == F.col("b.digest"))
-                     & F.col("a.page_id").eqNullSafe(F.col("b.page_id"))
-                     & F.col("a.url").eqNullSafe(F.col("b.url")))
-              .select("a.*", "b.size").groupBy(*same, "size")
-              .agg(F.first("payload").alias("payload"))
-              .select(*same, "size", "payload", F.lit(None).cast("long").alias("refers_to"),
+    keep = decided.filter("is_kept")
+    same = ["page_id", "url", "digest", "size"]
+    bodies = (full.select("key", "payload").join(keep.select("key", *same), "key").groupBy("key")
+              .agg(F.first("payload").alias("payload"), *[F.first(c).alias(c) for c in same])
+              .select(*same, "payload", F.lit(None).cast("long").alias("refers_to"),
                       F.lit(False).alias("revisit")))
     again = F.col("times") - F.when(F.col("is_kept"), 1).otherwise(0)
     revisits = (decided.filter(again > 0)
-                .select(*same, "size", F.lit(None).cast("binary").alias("payload"),
+                .select(*same, F.lit(None).cast("binary").alias("payload"),
                         F.coalesce(F.col("kept")["page_id"], F.col("page_id")).alias("refers_to"),
                         F.explode(F.sequence(F.lit(1), again.cast("int"))).alias("n"))
                 .withColumn("revisit", F.lit(True)).drop("n"))
