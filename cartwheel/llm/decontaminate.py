@@ -245,22 +245,25 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
             yield [tuple(r) for r in found]
 
 
+def _searcher(screen):
+    def search(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashed = WordHash()
+        for texts in batches:
+            yield pd.Series(screen.value.hits(
+                [t.encode() if t is not None else b"" for t in texts], hashed), dtype=object)
+
+    return search
+
+
 def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "hits") -> DataFrame:
     """``docs`` with an array of (item_id, similarity, first_word, n_words) in ``column``."""
     spark = docs.sparkSession
-    total = F.lit(None).cast(HIT)
+    none = F.array().cast(HIT)
+    total = none
     for rows in item_blocks(benchmark):
-        screen = spark.sparkContext.broadcast(Screen(rows))
-
-        def search(batches: Iterator[pd.Series], screen=screen) -> Iterator[pd.Series]:
-            hashed = WordHash()
-            for texts in batches:
-                yield pd.Series(screen.value.hits(
-                    [t.encode() if t is not None else b"" for t in texts], hashed), dtype=object)
-
-        found = F.pandas_udf(search, HIT)(F.col("text"))
-        total = F.concat(F.coalesce(total, F.array().cast(HIT)), found)
-    return docs.withColumn(column, F.coalesce(total, F.array().cast(HIT)))
+        search = F.pandas_udf(_searcher(spark.sparkContext.broadcast(Screen(rows))), HIT)
+        total = F.concat(total, search(F.col("text")))
+    return docs.withColumn(column, F.coalesce(total, none))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

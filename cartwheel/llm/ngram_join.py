@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cartwheel.llm.common import (
     MASK, WordHash, mix64, record, shingle_set, slices, stage, texts_of, words_of,
@@ -59,7 +59,7 @@ def doc_key() -> Column:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(doc_key().alias("key"), "text")
+    return docs.select(doc_key().alias("key"), F.xxhash64("text").alias("h"), "text")
 
 
 def needed(n: int) -> int:
@@ -86,8 +86,8 @@ def required_within(low: Column, high: Column, other_low: Column, other_high: Co
 
 
 def shingle_rows(keys: DataFrame) -> DataFrame:
-    """key, n, a, b (hashes of the set), minima; and rows of the count sketch by page."""
-    schema = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("a", pa.int64()),
+    """key, h, n, a, b (hashes of the set), minima; and rows of the count sketch by page."""
+    schema = pa.schema([("key", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("a", pa.int64()),
                         ("b", pa.int64()), ("minima", pa.list_(pa.int64())),
                         ("page", pa.int32()), ("counts", pa.binary())])
 
@@ -107,15 +107,16 @@ def shingle_rows(keys: DataFrame) -> DataFrame:
             flat = np.concatenate(all_sets)
             np.add.at(sketch, (flat >> np.uint64(64 - SKETCH)).astype(np.int64), 1)
             blank = pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())
-            yield record(schema, [batch.column("key"), n, a, b, minima, *blank])
+            yield record(schema, [batch.column("key"), batch.column("h"), n, a, b, minima, *blank])
         if sketch.any():
             pages = [(p, zlib.compress(sketch[p * PAGE:(p + 1) * PAGE].tobytes(), 1))
                      for p in range((1 << SKETCH) // PAGE)]
-            blank = [pa.nulls(len(pages), f.type) for f in list(schema)[:5]]
+            blank = [pa.nulls(len(pages), f.type) for f in list(schema)[:6]]
             yield record(schema, [*blank, [p for p, _ in pages], [c for _, c in pages]])
 
-    return stage(keys.mapInArrow(work, "key long, n long, a long, b long, minima array<long>, "
-                                       "page int, counts binary"), "shingle-rows")
+    return stage(keys.mapInArrow(work, "key long, h long, n long, a long, b long, "
+                                       "minima array<long>, page int, counts binary"),
+                 "shingle-rows")
 
 
 def sketch_levels(rows: DataFrame) -> np.ndarray:
@@ -154,7 +155,7 @@ def cut_tokens(keys: DataFrame, levels) -> DataFrame:
             keys_ = np.repeat(batch.column("key").to_numpy(), lengths)
             yield record(schema, [np.concatenate(tokens).astype(np.int64), keys_])
 
-    return keys.mapInArrow(work, "token long, key long")
+    return keys.select("key", "text").mapInArrow(work, "token long, key long")
 
 
 def bloom_of(ids: DataFrame) -> np.ndarray:
@@ -193,7 +194,7 @@ def linked(pairs: DataFrame, keys: DataFrame) -> DataFrame:
             x = mix64(batch.column("key").to_numpy().astype(np.uint64))
             yield batch.filter(pa.array(bits.value[(x >> np.uint64(64 - BLOOM)).astype(np.int64)]))
 
-    some = keys.mapInArrow(may_be, "key long, text string")
+    some = keys.select("key", "text").mapInArrow(may_be, "key long, text string")
     both = (pairs.join(some.withColumnsRenamed({"key": "v", "text": "text_v"}), "v")
             .join(some.withColumnsRenamed({"key": "u", "text": "text_u"}), "u")
             .select("u", "v", "text_u", "text_v"))
@@ -284,8 +285,9 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
     return pairs.filter(fits).select("u", "v")
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+def class_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (key, h, n, a, b) of all documents, and (n, a, b, first, label) of each class: its least
+    key and the least key of its component."""
     spark = docs.sparkSession
     keys = keyed(docs)
     rows = shingle_rows(keys)
@@ -298,9 +300,39 @@ def near_components(docs: DataFrame) -> DataFrame:
     more = linked(stage(matrix_pairs(cut_tokens(keys, levels), classes, joined), "pairs"), keys)
     labels = stage(components(seeds.unionByName(more)), "labels")
     found = stage(classes.join(labels, F.col("key") == F.col("node"), "left").select(
-        "n", "a", "b", F.coalesce("label", "key").alias("label")), "class-labels")
-    out = texts.select("key", "n", "a", "b").join(found, ["n", "a", "b"], "left")
+        "n", "a", "b", F.col("key").alias("first"), F.coalesce("label", "key").alias("label")),
+        "class-labels")
+    return texts.select("key", "h", "n", "a", "b"), found
+
+
+def near_components(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of ``docs`` (doc_id, text)."""
+    rows, found = class_labels(docs)
+    out = rows.join(found, ["n", "a", "b"], "left")
     own = F.when(F.col("key") < STAND_IN, F.col("key"))
     return out.select(own.alias("doc_id"), F.col("n").alias("n_shingles"),
                       F.when(F.col("n") == 0, own).when(F.col("label") < STAND_IN, F.col("label"))
                       .alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each component, with all its columns; rows without words stay.
+
+    The row kept has the component's least doc_id; of several texts under that doc_id the one with
+    the least hash, and of rows equal in both the one whose columns hash least.
+    """
+    rows, found = class_labels(docs)
+    roots = (rows.join(found.filter("first = label"), ["n", "a", "b"])
+             .filter("key = first").groupBy("key", "h").agg(F.count("*").alias("times"))
+             .groupBy("key").agg(F.min(F.struct("h", "times")).alias("one"))
+             .select("key", "one.*"))
+    empty = rows.filter("n = 0").select("key", "h", F.lit(1).cast("long").alias("times")).distinct()
+    keep = stage(roots.unionByName(empty), "kept-keys")
+    row = docs.select(F.struct("*").alias("row"), doc_key().alias("key"),
+                      F.xxhash64("text").alias("h"), F.xxhash64(*docs.columns).alias("all"))
+    kept = row.join(keep, ["key", "h"])  # narrow keys; the texts move once at most
+    once = kept.filter("times = 1").select("row.*")
+    order = W.partitionBy("key", "h").orderBy("all")
+    again = (kept.filter("times > 1").withColumn("at", F.row_number().over(order))
+             .filter("at = 1").select("row.*"))
+    return once.unionByName(again)

@@ -75,8 +75,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_html_extraction, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
     op6_lm_scoring, op7_sharding, op8_token_counts,
-    op9_quality, op10_warc)}
+    op9_quality, op10_warc, pipeline)}
 LLM_CHECKS: dict[str, str] = {}
