@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from cartwheel.llm.checks import LLM_CHECKS  # noqa: F401 - read by the entry module
 from cartwheel.llm.common import table
 
 
@@ -84,4 +85,3 @@ LLM_QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_html_extraction, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
     op6_lm_scoring, op7_sharding, op8_token_counts,
     op9_quality, op10_warc, pipeline)}
-LLM_CHECKS: dict[str, str] = {}
