@@ -137,13 +137,21 @@ def sketch_levels(rows: DataFrame) -> np.ndarray:
     return out
 
 
-def cut_tokens(keys: DataFrame, levels) -> DataFrame:
-    """(token, key): the first tokens of every set in the common order, as many as must meet."""
+def cut_tokens(keys: DataFrame, ids: DataFrame, levels) -> DataFrame:
+    """(token, key): the first tokens of every set in the common order, as many as must meet.
+
+    For the keys in ``ids``, and few others that the bit set lets through.
+    """
+    bits = keys.sparkSession.sparkContext.broadcast(bloom_of(ids))
     schema = pa.schema([("token", pa.int64()), ("key", pa.int64())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, level = WordHash(), levels.value
         for batch in slices(batches):
+            x = mix64(batch.column("key").to_numpy().astype(np.uint64))
+            batch = batch.filter(pa.array(bits.value[(x >> np.uint64(64 - BLOOM)).astype(np.int64)]))
+            if not batch.num_rows:
+                continue
             tokens, lengths = [], []
             for text in texts_of(batch):
                 s = shingle_set(hashed.of(words_of(text.lower())), WIDTH)
@@ -183,18 +191,21 @@ def bloom_of(ids: DataFrame) -> np.ndarray:
     return np.unpackbits(total).astype(bool)
 
 
-def linked(pairs: DataFrame, keys: DataFrame) -> DataFrame:
-    """The rows (u, v) of ``pairs`` whose texts link, found by their whole shingle sets."""
-    spark = pairs.sparkSession
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct()
-    bits = spark.sparkContext.broadcast(bloom_of(ids))
+def maybe_in(keys: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (key, text) whose key is in ``ids``, and few others."""
+    bits = keys.sparkSession.sparkContext.broadcast(bloom_of(ids))
 
     def may_be(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = mix64(batch.column("key").to_numpy().astype(np.uint64))
             yield batch.filter(pa.array(bits.value[(x >> np.uint64(64 - BLOOM)).astype(np.int64)]))
 
-    some = keys.select("key", "text").mapInArrow(may_be, "key long, text string")
+    return keys.select("key", "text").mapInArrow(may_be, "key long, text string")
+
+
+def linked(pairs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows (u, v) of ``pairs`` whose texts link, found by their whole shingle sets."""
+    some = maybe_in(keys, pairs.select(F.explode(F.array("u", "v")).alias("key")).distinct())
     both = (pairs.join(some.withColumnsRenamed({"key": "v", "text": "text_v"}), "v")
             .join(some.withColumnsRenamed({"key": "u", "text": "text_u"}), "u")
             .select("u", "v", "text_u", "text_v"))
@@ -236,20 +247,28 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
         "key", "n", F.coalesce("label", "key").alias("comp"), band.alias("band"),
         F.pmod(F.col("minima")[0], F.lit(BLOCKS)).cast("int").alias("block")), "members")
     entity = ["comp", "band", "block"]
-    # tokens that one class alone holds link nothing; the window's rows are narrow and may spill
-    shared = stage(tokens.join(members.select("key"), "key", "left_semi")
-                   .groupBy("token").agg(F.min("key").alias("first"), F.max("key").alias("last"))
-                   .filter("first <> last").select("token"), "shared-tokens")
-    postings = stage(tokens.join(shared, "token").join(members, "key")
-                     .groupBy("token", *entity)
-                     .agg(F.min("n").alias("low"), F.max("n").alias("high")), "postings")
-    sizes = members.groupBy(*entity).agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    # tokens that one class alone holds link nothing: one shuffle of narrow rows that may spill
+    own = W.partitionBy("token")
+    held = stage(tokens.withColumn("first", F.min("key").over(own))
+                 .withColumn("last", F.max("key").over(own)).filter("first <> last")
+                 .select("token", "key"), "held-tokens")
+    mine = held.join(members, "key")
+    shared = (mine.groupBy("token").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+              .filter("first <> last").select("token"))
+    mine = stage(mine.join(shared, "token"), "shared-tokens")
+    # of a class's cut tokens those that no other class holds lie outside every overlap
+    caps = mine.groupBy("key").agg(F.count("*").alias("s"), F.first("n").alias("n")).select(
+        "key", (F.ceil(F.col("n") * 0.75) - 1 + F.col("s")).alias("cap"))
+    members = stage(members.join(caps, "key"), "capped-members")
+    postings = stage(mine.groupBy("token", *entity).agg(F.count("*").alias("rows")).drop("rows"),
+                     "postings")
+    sizes = members.groupBy(*entity).agg(F.min("n").alias("low"), F.max("n").alias("high"),
+                                         F.max("cap").alias("cap"))
     # matrix: a token's groups, with the least and the greatest component that holds it there
     matrix = postings.groupBy("token", "band", "block").agg(
-        F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.min("low").alias("g_low"),
-        F.max("high").alias("g_high"))
-    groups = postings.groupBy("band", "block").agg(F.min("low").alias("g_low"),
-                                                   F.max("high").alias("g_high"))
+        F.min("comp").alias("c1"), F.max("comp").alias("c2"))
+    groups = members.groupBy("band", "block").agg(
+        F.min("n").alias("g_low"), F.max("n").alias("g_high"), F.max("cap").alias("g_cap"))
     reach = int(np.ceil(np.log(4 / 3) / np.log(BAND))) + 1
     q = postings.select("token", *entity)
     m = matrix.select("token", F.col("band").alias("g_band"), F.col("block").alias("g_block"),
@@ -260,29 +279,37 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
              .groupBy(*entity, "g_band", "g_block").agg(F.count("*").alias("c")))
     g = groups.withColumnsRenamed({"band": "g_band", "block": "g_block"})
     opened = stage(found.join(sizes, entity).join(g, ["g_band", "g_block"])
-                   .filter(F.col("c") >= required_within(
+                   .filter((F.col("c") >= required_within(
                        F.col("low"), F.col("high"), F.col("g_low"), F.col("g_high")))
-                   .select(*entity, "g_band", "g_block", "low", "high"), "opened")
+                       & (7 * F.least("cap", "g_cap") >= 3 * (F.col("low") + F.col("g_low"))))
+                   .select(*entity, "g_band", "g_block", "low", "high", "cap"), "opened")
     # open: an entity meets those entities of its opened groups that open its own group too
-    one = postings.drop("low", "high").join(opened, entity)
+    one = postings.join(opened, entity)
     two = one.select("token", *[F.col(c).alias(f"{c}_2") for c in entity],
                      F.col("g_band").alias("band"), F.col("g_block").alias("block"),
-                     F.col("low").alias("low_2"), F.col("high").alias("high_2"))
+                     F.col("low").alias("low_2"), F.col("high").alias("high_2"),
+                     F.col("cap").alias("cap_2"))
     met = (one.join(two, ["token", "band", "block"])
            .filter((F.col("g_band") == F.col("band_2")) & (F.col("g_block") == F.col("block_2"))
                    & (F.col("comp") < F.col("comp_2")))
            .groupBy(*entity, *[f"{c}_2" for c in entity])
            .agg(F.count("*").alias("c"), *[F.first(x).alias(x)
-                                           for x in ("low", "high", "low_2", "high_2")])
-           .filter(F.col("c") >= required_within(F.col("low"), F.col("high"), F.col("low_2"),
-                                                 F.col("high_2"))))
-    pairs = (met.select(*entity, *[f"{c}_2" for c in entity])
-             .join(members.select(F.col("key").alias("u"), F.col("n").alias("n_u"), *entity), entity)
-             .join(members.select(F.col("key").alias("v"), F.col("n").alias("n_v"),
-                                  *[F.col(c).alias(f"{c}_2") for c in entity]),
-                   [f"{c}_2" for c in entity]))
-    fits = (F.col("n_u") * 3 <= F.col("n_v") * 4) & (F.col("n_v") * 3 <= F.col("n_u") * 4)
-    return pairs.filter(fits).select("u", "v")
+                                           for x in ("low", "high", "cap", "low_2",
+                                                     "high_2", "cap_2")])
+           .filter((F.col("c") >= required_within(F.col("low"), F.col("high"), F.col("low_2"),
+                                                  F.col("high_2")))
+                   & (7 * F.least("cap", "cap_2") >= 3 * (F.col("low") + F.col("low_2")))))
+    met = stage(met.select(*entity, *[f"{c}_2" for c in entity]), "met")
+    left = members.select(F.col("key").alias("u"), F.col("n").alias("n_u"),
+                          F.col("cap").alias("cap_u"), *entity)
+    right = members.select(F.col("key").alias("v"), F.col("n").alias("n_v"),
+                           F.col("cap").alias("cap_v"),
+                           *[F.col(c).alias(f"{c}_2") for c in entity])
+    # the condition is the join's own: pairs that can't link are not made
+    fits = 7 * F.least("cap_u", "cap_v") >= 3 * (F.col("n_u") + F.col("n_v"))
+    same = [F.col(f"r.{c}_2") == F.col(f"l.{c}_2") for c in entity]
+    pairs = met.join(left, entity).alias("l").join(right.alias("r"), [*same, fits])
+    return pairs.select("u", "v")
 
 
 def class_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -297,7 +324,8 @@ def class_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("key").alias("key"), F.first("minima").alias("minima")), "classes")
     seeds = stage(linked(stage(seed_pairs(classes), "seed-pairs"), keys), "seed-links")
     joined = stage(components(seeds), "seed-labels")
-    more = linked(stage(matrix_pairs(cut_tokens(keys, levels), classes, joined), "pairs"), keys)
+    more = linked(stage(matrix_pairs(cut_tokens(keys, classes, levels), classes,
+                                     joined), "pairs"), keys)
     labels = stage(components(seeds.unionByName(more)), "labels")
     found = stage(classes.join(labels, F.col("key") == F.col("node"), "left").select(
         "n", "a", "b", F.col("key").alias("first"), F.coalesce("label", "key").alias("label")),
