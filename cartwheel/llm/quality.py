@@ -122,8 +122,8 @@ def fences(groups: DataFrame, spread: float = SPREAD, min_group: int = MIN_GROUP
     by_lang = merged("lang")
     by_lang = by_lang.select(F.col("lang").alias("lang_"), F.col("n").alias("lang_n"),
                              limits(by_lang).alias("by_lang"))
-    all_rows = merged()
-    all_rows = all_rows.select(limits(all_rows).alias("all")).filter("all is not null")
+    all_rows = merged().filter("n > 0")  # a sketch of nothing has no quantiles
+    all_rows = all_rows.select(limits(all_rows).alias("all"))
     wide = own.join(by_lang, F.col("lang").eqNullSafe(F.col("lang_")), "left")
     return wide.join(F.broadcast(all_rows), F.lit(True), "left").select(  # one row
         "lang", "source", F.when(F.col("n") >= min_group, F.col("own"))
