@@ -3,7 +3,7 @@ from cartwheel.functions.calendar import (  # noqa: F401
     week_start_ts, yyyymmdd,
 )
 from cartwheel.functions.keys import hash_order, hash_bucket, hash_long  # noqa: F401
-from cartwheel.functions.lists import backfill, has_item, joined, take_first  # noqa: F401
+from cartwheel.functions.lists import backfill, joined, take_first  # noqa: F401
 from cartwheel.functions.numeric import (  # noqa: F401
     degradation_pct, nan_to_null, round_half_even,
 )

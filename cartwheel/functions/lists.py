@@ -9,10 +9,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def has_item(items, item) -> Column:
-    return F.array_contains(_col(items), _col(item))
-
-
 def take_first(items, n: int) -> Column:
     return F.slice(_col(items), 1, n)
 

@@ -133,8 +133,6 @@ def draw_unbought(spark: SparkSession, sold: DataFrame, n: int, seed: int = 42)
     sizes = AxisSizes(counts.c, counts.w, counts.p)
     if sizes.cells - counts.sold < n:
         raise ValueError("fewer unsold cells than cells wanted")
-    if sizes.cells >= 2 ** 62:
-        raise ValueError("the full grid has too many cells to number")
     draws = min(sizes.cells, n + counts.sold)
     numbers = spark.range(draws).select(
         F.col("id").alias("_k"), F.expr(f"id % {sizes.customers}").alias("c"),

@@ -38,10 +38,11 @@ def customer_stats(pairs: DataFrame, cust: DataFrame) -> DataFrame:
     totals = pairs.groupBy("customer_id").agg(
         F.sum("n_rows").alias("_rows"), F.sum("n_pos").alias("_pos"),
         F.sum("s_items").alias("_items"))
-    known = (totals.join(cust, "customer_id")
+    # gaps are filled before zones are made, so customers without coordinates share zone 0
+    known = (totals.join(cust, "customer_id").fillna(0, ["X", "Y"])
              .withColumn("zone_X", round_half_even("X"))
              .withColumn("zone_Y", round_half_even("Y")))
-    zones = (known.dropna(subset=["zone_X", "zone_Y"]).groupBy("zone_X", "zone_Y").agg(
+    zones = (known.groupBy("zone_X", "zone_Y").agg(
         (F.sum("_pos") / F.sum("_rows")).alias("zone_avg_purchase_freq"),
         F.sum("_items").alias("zone_total_purchases"),
         F.count_distinct("customer_id").alias("zone_customer_density")))
@@ -51,8 +52,11 @@ def customer_stats(pairs: DataFrame, cust: DataFrame) -> DataFrame:
 
 
 def product_stats(pairs: DataFrame, prod: DataFrame) -> DataFrame:
-    """Product attributes with mean items per row; unknown products keep null attributes."""
-    means = (pairs.dropna(subset=["product_id"]).groupBy("product_id")
+    """Product attributes with mean items per row; unknown products keep null attributes.
+
+    A missing product id is product 0, here and in the order of products.
+    """
+    means = (pairs.groupBy(F.coalesce("product_id", F.lit(0)).alias("product_id"))
              .agg((F.sum("s_items") / F.sum("n_rows")).alias("product_avg_purchase")))
     return means.join(prod, "product_id", "left")
 
@@ -63,7 +67,7 @@ def carried_labels(pairs: DataFrame) -> DataFrame:
     The window runs over one small row per product of a customer, so the catalogue bounds it.
     """
     n = TREND_ROWS - 1
-    before = (Window.partitionBy("customer_id").orderBy(F.asc_nulls_last("product_id"))
+    before = (Window.partitionBy("customer_id").orderBy(F.coalesce("product_id", F.lit(0)))
               .rowsBetween(-n, -1))
     return (pairs.select(*PAIR, F.flatten(F.collect_list("tail").over(before)).alias("_labels"))
             .select(*PAIR, _last("_labels", n).alias("carry")))
@@ -81,6 +85,7 @@ def packed_features(packed: DataFrame, carried: DataFrame, by_customer: DataFram
     pairs = (packed.select(*PAIR, "weeks", "bought")
              .join(carried, (F.col("customer_id") == F.col("_c"))
                    & F.col("product_id").eqNullSafe(F.col("_p"))).drop("_c", "_p")
+             .withColumn("product_id", F.coalesce("product_id", F.lit(0)))
              .join(by_customer, "customer_id")
              .join(by_product, "product_id", "left"))
     rows = pairs.select("*", F.posexplode("weeks").alias("pos", "cell"))

@@ -70,6 +70,10 @@ def recommend_requests(requests: DataFrame, candidates: DataFrame, model=None,
     A product listed for several weeks is counted before the lists are formed, so the list step
     moves one row per product; the lists follow (product, week) order.
     """
+    # only what the requests ask for is scored
+    who = requests.select(F.col("customer_id").alias("_who")).distinct()
+    candidates = candidates.join(
+        who, F.col("customer_id").cast("string") == F.col("_who"), "left_semi")
     if model is not None:
         candidates = model.transform(candidates)
     offers = (candidates.filter(F.col("prediction") == 1)

@@ -52,6 +52,8 @@ def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
         sizes = tuple(grid.agg(F.count(F.when(F.col("items") > 0, 1)),
                                F.count(F.when(F.col("items") == 0, 1))).first())
     wanted, available = sizes
+    if wanted == 0:
+        return grid.filter(F.col("items") > 0)
     if available < wanted:
         if on_short == "raise":
             raise ValueError(f"{available} cells to sample from, {wanted} wanted")

@@ -241,6 +241,10 @@ FROM (SELECT (SELECT count(*) FROM months) - (SELECT count(*) FROM old) AS n)"""
     "ingest_merge": _sql("""
 SELECT * FROM tx WHERE purchase_date >= DATE '1998-01-01'
 UNION SELECT * FROM tx WHERE purchase_date < DATE '1999-01-01'"""),
+    "ingest_incremental": _sql("""
+SELECT * FROM tx WHERE purchase_date < DATE '1999-01-01'
+UNION ALL (SELECT * FROM tx WHERE purchase_date >= DATE '1998-01-01'
+           EXCEPT SELECT * FROM tx WHERE purchase_date < DATE '1999-01-01')"""),
     "dedupe_transactions": _sql("SELECT * FROM dtx"),
     "enrich_transactions": _sql("""
 SELECT * FROM tx LEFT JOIN cust USING (customer_id) LEFT JOIN prod USING (product_id)"""),
@@ -356,13 +360,13 @@ SELECT CAST(customer_id AS VARCHAR) AS customer_id,
        '{"customer_id":"' || CAST(customer_id AS VARCHAR) || '","recommended_products":['
        || coalesce(string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id), '')
        || ']}' AS json
-FROM (SELECT DISTINCT customer_id, product_id FROM hits) GROUP BY customer_id""", _ASKED),
+FROM hits GROUP BY customer_id""", _ASKED),
     "recommendation_message": _sql("""
 SELECT CAST(customer_id AS VARCHAR) AS customer_id,
        CASE WHEN count(product_id) = 0 THEN 'No hay productos recomendados para este cliente.'
             ELSE 'Productos recomendados: ' || string_agg(CAST(product_id AS VARCHAR), ', '
                                                           ORDER BY product_id) END AS message
-FROM (SELECT DISTINCT customer_id, product_id FROM hits) GROUP BY customer_id""", _ASKED),
+FROM hits GROUP BY customer_id""", _ASKED),
     "filter_options": _sql("""
 SELECT kind, CAST(row_number() OVER (PARTITION BY kind ORDER BY value) - 1 AS INT) AS position,
        value
@@ -420,6 +424,13 @@ FROM filled""", _GAPPY),
     "impute_numeric": _sql("""
 SELECT customer_id, product_id, order_id, items, round(size, 6) AS size_filled FROM filled""",
                            _GAPPY),
+    "impute_median": _sql("""
+SELECT customer_id, product_id, order_id, CAST(items AS DOUBLE) AS items,
+       coalesce(CAST(size AS DOUBLE), (SELECT median(CAST(size AS DOUBLE)) FROM gappy))
+           AS size_filled,
+       coalesce(CAST(items AS DOUBLE), (SELECT median(CAST(items AS DOUBLE)) FROM gappy))
+           AS items_filled
+FROM gappy""", _GAPPY),
     "impute_mode": _sql("""
 SELECT customer_id, product_id, order_id, items,
        coalesce(brand, (SELECT brand FROM gappy WHERE brand IS NOT NULL GROUP BY 1
@@ -439,6 +450,16 @@ SELECT product_id, coalesce(bk - 1, -1) AS brand_code, coalesce(gk - 1, -1) AS s
     "date_features": _sql("""
 SELECT customer_id, product_id, sold.week, CAST(month(sold.week) AS INT) AS month,
        CAST(weekofyear(sold.week) AS INT) AS week1 FROM sold"""),
+    "features_with_gaps": _sql("""
+SELECT * REPLACE (coalesce(brand, '0') AS brand, coalesce(category, '0') AS category,
+                  coalesce(sub_category, '0') AS sub_category, coalesce(segment, '0') AS segment,
+                  coalesce(package, '0') AS package, coalesce(size, 0) AS size)
+FROM features""", _SCORED, _FEATURES).replace(f"tx AS ({TRANSACTIONS_SQL})", f"""tx AS (
+  SELECT * REPLACE (CASE WHEN product_id % 7 = 0 THEN 0 ELSE product_id END AS product_id)
+  FROM ({TRANSACTIONS_SQL}) t)""", 1).replace(f"cust AS ({CUSTOMERS_SQL})", f"""cust AS (
+  SELECT * REPLACE (CASE WHEN customer_id % 5 = 0 THEN 0e0 ELSE X END AS X,
+                    CASE WHEN customer_id % 11 = 0 THEN 0e0 ELSE Y END AS Y)
+  FROM ({CUSTOMERS_SQL}) c)""", 1),
     "training_set_v2": _sql("SELECT * FROM features", _BALANCED, _FEATURES),
     "scoring_set_v2": _sql("SELECT * FROM features", _SCORED, _FEATURES),
     "training_set_v1": _sql("""

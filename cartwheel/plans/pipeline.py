@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +44,36 @@ def drift_step(model: PipelineModel, table: DataFrame) -> DataFrame:
     return drift_decision(mmd_drift(ref, new, features="features"))
 
 
+PENDING, DONE = "pending", "done"
+
+
+def _state(spark: SparkSession, cfg: Config) -> str:
+    """Whether the last run went through; a first run has nothing pending."""
+    try:
+        return spark.read.schema("state string").parquet(cfg.path("state")).first().state
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return DONE
+        raise
+
+
+def _mark(spark: SparkSession, cfg: Config, state: str) -> None:
+    (spark.createDataFrame([(state,)], "state string").coalesce(1).write.mode("overwrite")
+     .parquet(cfg.path("state")))
+
+
 def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     """One run. Tables pass between the steps as files; decisions are single rows.
 
-    Returns the decision and the paths written. Without new files nothing else is done. When there
-    is no usable model the step that needs one leads to training.
+    Returns the decision and the paths written. Without new files nothing else is done, unless an
+    earlier run took files in and did not come to its end. When there is no usable model the step
+    that needs one leads to training.
     """
-    if not ingest_distinct(spark, cfg.new_dir, cfg.history_dir, cfg.path("ingest")):
+    before = _state(spark, cfg)
+    _mark(spark, cfg, PENDING)
+    if not ingest_distinct(spark, cfg.new_dir, cfg.history_dir, cfg.path("ingest")) \
+            and before == DONE:
+        _mark(spark, cfg, DONE)
         return {"decision": SKIP}
     tx = read_transactions(spark, cfg.history_dir)
     cust, prod = read_customers(spark, cfg.customers), read_products(spark, cfg.products)
@@ -72,4 +96,5 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     grid = training_set_v2(tx, cust, prod, cfg.seed, balance=False)
     out["scored"] = write_features(score_positive(model, grid), cfg.path("scored"))
     out["decision"] = decision
+    _mark(spark, cfg, DONE)
     return out

@@ -93,6 +93,18 @@ def ingest_merge(spark, folder):
                          tx.filter(F.col("purchase_date") < F.lit("1999-01-01").cast("date")))
 
 
+def ingest_incremental(spark, folder):
+    """A history written as an archive, then files that overlap it by a year taken in."""
+    from cartwheel.sources.tables import archive_batch, read_transactions
+    from cartwheel.streaming.ingest import ingest_distinct
+    tx, day = star.transactions(spark, folder), F.col("purchase_date")
+    drop, history, state = (scratch_path(spark, n) for n in ("drop", "history", "ingest"))
+    archive_batch(tx.filter(day < F.lit("1999-01-01").cast("date")), history)
+    tx.filter(day >= F.lit("1998-01-01").cast("date")).write.parquet(drop)
+    ingest_distinct(spark, drop, history, state, tx.schema)
+    return read_transactions(spark, history, tx.schema)
+
+
 # --- projections, joins and aggregates --------------------------------------------------------
 
 def dedupe_transactions(spark, folder):
@@ -211,6 +223,17 @@ def _feature(*names) -> Callable:
     return query
 
 
+def features_with_gaps(spark, folder):
+    """Features of the whole grid when every seventh product id and some coordinates are missing."""
+    tx, c, p = _inputs(spark, folder)
+    key = F.col("customer_id")
+    gap = F.lit(None).cast("double")
+    tx = tx.withColumn("product_id", F.when(F.col("product_id") % 7 != 0, F.col("product_id")))
+    c = c.withColumns({"X": F.when(key % 5 == 0, gap).otherwise(F.col("X")),
+                       "Y": F.when(key % 11 == 0, gap).otherwise(F.col("Y"))})
+    return training_set_v2(tx, c, p, balance=False)
+
+
 def zone_features(spark, folder):
     sold, c = _staged(spark, folder)
     return zones_of(pair_summary(grid.packed_grid(sold, c)), c)
@@ -283,7 +306,10 @@ def _filtered(spark, folder, distinct=False) -> DataFrame:
         .when(key % 4 == 2, brand).otherwise(none).alias("brands"),
         F.when(key % 4 == 3, F.array(F.lit("hot"), F.lit("small"))).otherwise(none)
         .alias("packages"))
-    return recommend.recommend_requests(asked, _judged(spark, folder), distinct=distinct)
+    # requests come in and answers go out as JSON
+    lines = asked.select(F.to_json(F.struct("*")).alias("value"))
+    return recommend.recommend_requests(recommend.requests_from_json(lines),
+                                        _judged(spark, folder), distinct=distinct)
 
 
 def predict_filter(spark, folder):
@@ -294,11 +320,11 @@ def predict_filter(spark, folder):
 
 
 def predict_json(spark, folder):
-    return recommend.answers_json(_filtered(spark, folder, distinct=True))
+    return recommend.answers_json(_filtered(spark, folder))
 
 
 def recommendation_message(spark, folder):
-    return recommend.format_recommendations(_filtered(spark, folder, distinct=True)).select(
+    return recommend.format_recommendations(_filtered(spark, folder)).select(
         "customer_id", "message")
 
 
@@ -367,10 +393,8 @@ def weekly_window_events(spark, folder):
 
 # --- preprocessing, model and drift ------------------------------------------------------------
 
-# Small trees keep the registered model queries short; the library defaults are in train.py.
-_QUICK = {"imputer_strategy": ["mean"], "scaler": ["standard", "minmax"],
-          "encoder": ["onehot", "ordinal"], "n_estimators": (3, 5), "max_depth": (3, 4),
-          "learning_rate": (0.1, 0.3), "subsample": (0.7, 1.0), "colsample_bytree": (0.7, 1.0)}
+# All dimensions of the search space over all rows; only the trees are fewer and smaller.
+_QUICK = {**train.SPACE_V2, "n_estimators": (3, 5), "max_depth": (3, 4)}
 
 
 def _gappy(spark, folder) -> DataFrame:
@@ -403,6 +427,13 @@ def impute_numeric(spark, folder):
                          F.round("size_filled", 6).alias("size_filled"))
 
 
+def impute_median(spark, folder):
+    df = _gappy(spark, folder)
+    filled = prep.numeric_imputer(df, ["size", "items"], "median").transform(df)
+    return filled.select("customer_id", "product_id", "order_id", "items", "size_filled",
+                         "items_filled")
+
+
 def impute_mode(spark, folder):
     df = _gappy(spark, folder)
     return prep.mode_imputer(df, ["brand", "segment"]).transform(df).select(
@@ -477,7 +508,7 @@ def drift_decision(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         scan_transactions, scan_dimensions, csv_roundtrip, archive_range, detect_new_files,
-        detect_new_count, ingest_merge, dedupe_transactions, enrich_transactions, weekly_sales,
+        detect_new_count, ingest_merge, ingest_incremental, features_with_gaps, dedupe_transactions, enrich_transactions, weekly_sales,
         grid_per_customer, grid_labeled, label_target, split_pos_neg, fill_nulls, top_products,
         rec_history, avg_items, num_orders, periodicity, periodicity_timestamp,
         calendar_features, zone_round, balanced_sample, temporal_split, random_split,
@@ -486,7 +517,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         recommendation_message, filter_options, score_positive, class_weight, f1_score,
         classification_report, runs_search, best_run, optimization_history,
         degradation_decision, weekly_window_events, standard_scale, minmax_scale,
-        impute_numeric, impute_mode, encode_onehot, encode_ordinal, date_features,
+        impute_numeric, impute_median, impute_mode, encode_onehot, encode_ordinal, date_features,
         train_and_score, feature_importance, hyperparameter_search, mmd_rff, drift_decision)
 }
 QUERIES.update({

@@ -30,13 +30,16 @@ def local_session(cpus: int | str = 8, app: str = "cartwheel") -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (a bare local session) a fresh temporary folder is
-    used, and it is remembered in the session.
+    Only where the setting is absent in a local session a fresh temporary folder is used, and it
+    is remembered in the session. On a cluster executors would not see each other's files there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.cartwheel.scratch", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         folder = tempfile.mkdtemp(prefix="cartwheel-")
         spark.conf.set("spark.cartwheel.scratch", folder)
     return folder.rstrip("/")

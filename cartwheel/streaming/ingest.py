@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cartwheel.schemas import TRANSACTIONS
@@ -39,29 +40,59 @@ def dedupe_stream(stream: DataFrame, ts: str, keys: list[str] | None = None,
             .dropDuplicatesWithinWatermark(keys or list(stream.columns)))
 
 
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a checkpoint keeps for its query; a new checkpoint has another one."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first().id
+
+
+def _stored(spark: SparkSession, history: str, schema: T.StructType, but: str) -> DataFrame | None:
+    """Rows of every file below ``history``, however it was laid out, except the partition ``but``.
+    None if there is no such folder yet."""
+    try:
+        rows = (spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(history))
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+    return rows.filter(~F.contains(F.col("_metadata.file_path"), F.lit(f"/{but}/"))).select(
+        *schema.names)
+
+
 def ingest_distinct(spark: SparkSession, folder: str, history: str, checkpoint: str,
-                    schema: T.StructType = TRANSACTIONS, max_files: int | None = None) -> int:
+                    schema: T.StructType = TRANSACTIONS, max_files: int | None = None,
+                    date: str = "purchase_date") -> int:
     """Append new files' rows that the history does not hold yet, each distinct row once. Returns
     the number of rows read; 0 means there was no new file.
 
-    Every micro-batch is written to its own partition ``batch=<id>``, overwritten on a retry, and
-    is compared with earlier partitions only, so a repeated batch adds nothing twice.
+    Every micro-batch goes to a partition of its own, named by the checkpoint's id and the batch's
+    number and overwritten only when that batch is tried again. It is compared with all other
+    files of the history, whoever wrote them; rows outside the batch's dates are skipped by the
+    scan.
     """
     names = list(schema.names)
-    stored = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+
+    read: dict[int, int] = {}
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        own = f"batch={_run_id(session, checkpoint)}-{batch_id}"
+        found = batch.agg(F.count("*").alias("n"), *([
+            F.min(date).alias("low"), F.max(date).alias("high"),
+            F.count_if(F.col(date).isNull()).alias("gaps")] if date in names else [])).first()
+        read[batch_id] = found.n
         fresh = batch.distinct()
-        if batch_id > 0:
-            old = (batch.sparkSession.read.schema(stored).parquet(history)
-                   .filter(F.col("batch") < batch_id)
-                   .select(*[F.col(c).alias(f"_{c}") for c in names]))
+        old = _stored(session, history, schema, own)
+        if old is not None:
+            if date in names:
+                inside = F.col(date).between(F.lit(found.low), F.lit(found.high))
+                old = old.filter(inside | F.col(date).isNull() if found.gaps else inside)
+            old = old.select(*[F.col(c).alias(f"_{c}") for c in names])
             same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
             fresh = fresh.join(old, same, "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{history}/batch={batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{history.rstrip('/')}/{own}")
 
     query = (transaction_stream(spark, folder, schema, max_files).writeStream
              .foreachBatch(append).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return sum(read.values())

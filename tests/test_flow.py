@@ -129,3 +129,69 @@ def test_weekly_run(spark, shop):
     second = run_pipeline(spark, cfg)
     assert "reason" not in second
     assert second["decision"] in ("optimize_model", "predictions")
+
+
+def test_ingest_compares_with_a_foreign_history(spark, tmp_path):
+    """Rows that another writer laid out differently count as known."""
+    new, hist, chk = (str(tmp_path / d) for d in ("new", "hist", "chk"))
+    row, other = (1, 1, 1, D, 1.0), (2, 1, 1, D, 1.0)
+    tables.archive_batch(tx_of(spark, [row, other]), hist)
+    tx_of(spark, [row]).write.parquet(new)
+    assert ingest.ingest_distinct(spark, new, hist, chk) == 1
+    assert tables.read_transactions(spark, hist).count() == 2
+
+
+def test_a_new_checkpoint_keeps_the_history(spark, tmp_path):
+    hist = str(tmp_path / "hist")
+    for turn, rows in enumerate([[(1, 1, 1, D, 1.0), (2, 1, 1, None, 1.0)],
+                                 [(1, 1, 1, D, 1.0), (3, 1, 1, D, 1.0), (2, 1, 1, None, 1.0)]]):
+        tx_of(spark, rows).write.parquet(str(tmp_path / f"new{turn}"))
+        ingest.ingest_distinct(spark, str(tmp_path / f"new{turn}"), hist, str(tmp_path / f"c{turn}"))
+    assert tables.read_transactions(spark, hist).count() == 3
+
+
+def test_a_failed_run_is_taken_up_again(spark, shop, tmp_path, monkeypatch):
+    from cartwheel.plans import pipeline
+    rows = [(c, p, c * 100 + w, D + dt.timedelta(7 * w), float(1 + (c + p + w) % 3))
+            for c in range(12) for w in range(8) for p in range(8) if (c * 7 + p * 3 + w) % 4 == 0]
+    tx_of(spark, rows).write.parquet(str(tmp_path / "new"))
+    cfg = Config(str(tmp_path / "new"), str(tmp_path / "hist"), str(shop / "customers"),
+                 str(shop / "products"), str(tmp_path / "work"), n_trials=1)
+
+    def broken(*_, **__):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(pipeline, "training_set_v2", broken)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, cfg)
+    with monkeypatch.context() as m:  # it goes on although there is no new file
+        m.setattr(pipeline, "training_set_v2", broken)
+        with pytest.raises(RuntimeError):
+            run_pipeline(spark, cfg)
+    pipeline._mark(spark, cfg, pipeline.DONE)
+    assert run_pipeline(spark, cfg) == {"decision": files.SKIP}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from cartwheel.session import shared_folder
+    conf = {}
+    fake = SimpleNamespace(conf=SimpleNamespace(get=conf.get, set=conf.__setitem__),
+                           sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(ValueError):
+        shared_folder(fake)
+    conf["spark.checkpoint.dir"] = "file:///shared/"
+    assert shared_folder(fake) == "file:///shared"
+
+
+def test_exact_median(spark):
+    from cartwheel.plans.prep import exact_median
+    random.seed(8)
+    for n in (1, 2, 7, 1000):
+        values = [random.choice([0.0, 1e9, -3.5, random.random()]) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "v double")
+        s = sorted(values)
+        assert exact_median(df, "v") == (s[n // 2] + s[(n - 1) // 2]) / 2
+    assert exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None

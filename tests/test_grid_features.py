@@ -189,3 +189,30 @@ def test_positive_and_negative_parts(spark):
     assert [r.product_id for r in pos.collect()] == [3]
     assert [r.product_id for r in neg.collect()] == [2]
     assert {r.product_id: r.target for r in grid.label_target(df).collect()} == {1: 0, 2: 0, 3: 1}
+
+
+def test_gaps_are_filled_before_zones_and_order(spark):
+    """Customers without coordinates share zone 0; a missing product is product 0, the first."""
+    import datetime as dt
+
+    from cartwheel.plans.training import training_set_v2
+    from cartwheel.schemas import CUSTOMERS, PRODUCTS, TRANSACTIONS
+    w = [dt.date(2021, 1, 4), dt.date(2021, 1, 11)]
+    tx = spark.createDataFrame([(1, 5, 1, w[0], 2.0), (1, None, 2, w[1], 4.0), (2, 5, 3, w[0], 6.0)],
+                               TRANSACTIONS)
+    cust = spark.createDataFrame([(1, 0, 0, "t", None, None, 1, 1), (2, 0, 0, "t", None, None, 1, 1)],
+                                 CUSTOMERS)
+    prod = spark.createDataFrame([(5, "b", "c", "s", "g", "k", 7)], PRODUCTS)
+    got = sorted((r.customer_id, r.product_id, r.week, r.target, round(r.recent_purchase_trend, 6),
+                  r.product_avg_purchase, r.zone_X, r.zone_total_purchases, r.zone_customer_density)
+                 for r in training_set_v2(tx, cust, prod, balance=False).collect())
+    assert got == [(1, 0, w[0], 0, 0.0, 2.0, 0.0, 12.0, 2), (1, 0, w[1], 1, 0.5, 2.0, 0.0, 12.0, 2),
+                   (1, 5, w[0], 1, 0.666667, 8 / 3, 0.0, 12.0, 2),
+                   (1, 5, w[1], 0, 0.5, 8 / 3, 0.0, 12.0, 2), (2, 5, w[0], 1, 1.0, 8 / 3, 0.0, 12.0, 2)]
+
+
+def test_nothing_bought_gives_an_empty_sample(spark):
+    from cartwheel.operators.sampling import balanced_sample
+    grid = spark.range(1000).selectExpr("id AS customer_id", "1 AS product_id",
+                                        "DATE'2021-01-04' AS week", "0D AS items")
+    assert balanced_sample(grid).count() == 0
