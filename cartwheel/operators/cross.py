@@ -90,6 +90,33 @@ def next_week_candidates(tx_week: DataFrame, requests: DataFrame, cust: DataFram
             .select("customer_id", "product_id").distinct().withColumn("week", week))
 
 
+def next_week_offers(tx_week: DataFrame, requests: DataFrame, cust: DataFrame, prod: DataFrame,
+                     pool: DataFrame) -> DataFrame:
+    """Next week's (customer, product, week) candidates by the rule that serves recommendations:
+    each requested customer's own products and those of ``pool`` (a fixed few rows).
+
+    The result is linear in bought pairs and requests. A request's brands and packages narrow it;
+    null or empty lists admit everything, and so does any of several requests of a customer.
+    """
+    asked = (requests.join(cust.select(F.col("customer_id").cast("string").alias("_c"),
+                                       F.col("customer_id").alias("_id")).distinct(),
+                           F.col("customer_id") == F.col("_c"))
+             .select(F.col("_id").alias("customer_id"), "brands", "packages").distinct())
+    own = tx_week.select("customer_id", "product_id").dropna().distinct()
+    popular = pool.agg(F.collect_list("product_id")).scalar()
+    pairs = asked.join(own, "customer_id").unionByName(
+        asked.withColumn("product_id", F.explode(popular)))
+
+    def open_to(wanted, value):
+        return (F.col(wanted).isNull() | (F.size(wanted) == 0)
+                | F.array_contains(wanted, F.col(value)))
+
+    fits = pairs.join(prod.select("product_id", "brand", "package"), "product_id").filter(
+        open_to("brands", "brand") & open_to("packages", "package"))
+    week = tx_week.agg(next_week(F.max("week"))).scalar()
+    return fits.select("customer_id", "product_id").distinct().withColumn("week", week)
+
+
 @dataclass(frozen=True)
 class AxisSizes:
     customers: int

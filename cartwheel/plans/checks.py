@@ -168,10 +168,14 @@ bask AS (
     FROM dtx GROUP BY 1, 2) GROUP BY 1)"""
 
 _NEXT = """,
+tops AS (SELECT product_id FROM tx GROUP BY 1 ORDER BY sum(items) DESC, product_id LIMIT 10),
+near AS (SELECT customer_id, product_id FROM sold
+         UNION SELECT customer_id, product_id FROM cust CROSS JOIN tops),
 nxt AS (
   SELECT customer_id, product_id, (SELECT max(week) FROM sold) + 7 AS week
-  FROM cust JOIN prod
-    ON brand IN ('Brand#' || CAST(1 + customer_id % 25 AS VARCHAR), 'Brand#3')
+  FROM near JOIN prod USING (product_id) WHERE customer_id IN (SELECT customer_id FROM cust)
+   AND (customer_id % 3 <> 1
+        OR brand IN ('Brand#' || CAST(1 + customer_id % 25 AS VARCHAR), 'Brand#3'))
    AND (customer_id % 3 <> 0 OR package IN ('hot', 'small')))"""
 
 _MANIFEST = """,

@@ -253,17 +253,18 @@ def grid_next_week_size(spark, folder):
 
 
 def _brand_requests(spark, folder) -> DataFrame:
-    """Every customer asks for two brands; every third one for two packages as well."""
+    """Requests of all customers: of three, one names two packages, one brands, one nothing."""
     key = F.col("customer_id")
     brands = F.array(F.concat(F.lit("Brand#"), (1 + key % 25).cast("string")), F.lit("Brand#3"))
     return star.customers(spark, folder).select(
-        key.cast("string").alias("customer_id"), brands.alias("brands"),
+        key.cast("string").alias("customer_id"), F.when(key % 3 == 1, brands).alias("brands"),
         F.when(key % 3 == 0, F.array(F.lit("hot"), F.lit("small"))).alias("packages"))
 
 
 def grid_next_week(spark, folder):
     _, c, p = _inputs(spark, folder)
-    return cross.next_week_candidates(_sold(spark, folder), _brand_requests(spark, folder), c, p)
+    return cross.next_week_offers(_sold(spark, folder), _brand_requests(spark, folder), c, p,
+                                  sales.top_products(star.transactions(spark, folder), 10))
 
 
 def scoring_v1(spark, folder):

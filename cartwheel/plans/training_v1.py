@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from cartwheel.operators.cross import balanced_cross, next_week_candidates
+from cartwheel.operators.cross import balanced_cross, next_week_offers
 from cartwheel.operators.grid import label_target
-from cartwheel.operators.sales import avg_items, num_orders, periodicity, with_week
+from cartwheel.operators.sales import (
+    avg_items, num_orders, periodicity, top_products, with_week,
+)
 from cartwheel.operators.tables import fill_nulls
 from cartwheel.plans.training import staged_sales
+from cartwheel.session import stage
 
 
 def attach_history(cells: DataFrame, tx: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
@@ -28,15 +31,16 @@ def attach_history(cells: DataFrame, tx: DataFrame, cust: DataFrame, prod: DataF
 
 def training_set_v1(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int = 42) -> DataFrame:
     """Bought cells and equally many unbought cells of the full grid, with history columns."""
-    tx = tx.distinct()
+    tx = stage(tx.distinct(), "distinct-sales")  # read by the sales and three histories
     sold = staged_sales(tx, cust, prod)
     cells = balanced_cross(tx.sparkSession, sold, seed)
     return label_target(attach_history(cells, tx, cust, prod)).drop("items")
 
 
 def scoring_set_v1(tx: DataFrame, requests: DataFrame, cust: DataFrame,
-                   prod: DataFrame) -> DataFrame:
+                   prod: DataFrame, pool_size: int = 10) -> DataFrame:
     """Next week's candidates of the requested customers with the history columns."""
-    tx = tx.distinct()
-    cells = next_week_candidates(with_week(tx), requests, cust, prod)
+    pool = top_products(tx, pool_size)
+    tx = stage(tx.distinct(), "distinct-sales")
+    cells = next_week_offers(with_week(tx), requests, cust, prod, pool)
     return attach_history(cells, tx, cust, prod)

@@ -76,3 +76,20 @@ def test_next_week_candidates_against_brute_force(spark, sold):
             if (not brands or p[1] in brands) and (not packs or p[5] in packs)}
     rows = [tuple(r) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want)
+
+
+def test_next_week_offers_against_brute_force(spark, sold):
+    from cartwheel.schemas import CUSTOMERS, PRODUCTS, REQUESTS
+    cust = spark.createDataFrame([(c, 1, 1, "t", 0.0, 0.0, 1, 1) for c in range(3)], CUSTOMERS)
+    shelf = [(p, "ab"[p % 2] if p < 8 else None, "c", "s", "g", "xyz"[p % 3], p) for p in range(10)]
+    asks = [("0", None, None), ("1", ["a", "q"], []), ("2", [], ["x", "z"]), ("99", None, None)]
+    pool = spark.createDataFrame([(3,), (4,), (77,)], "product_id long")
+    got = cross.next_week_offers(sold, spark.createDataFrame(asks, REQUESTS), cust,
+                                 spark.createDataFrame(shelf, PRODUCTS), pool)
+    week = max(WEEKS) + dt.timedelta(days=7)
+    own = {(r.customer_id, r.product_id) for r in sold.collect()}
+    want = {(int(c), p[0], week) for c, brands, packs in asks if int(c) < 3 for p in shelf
+            if ((int(c), p[0]) in own or p[0] in (3, 4))
+            and (not brands or p[1] in brands) and (not packs or p[5] in packs)}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
