@@ -13,8 +13,8 @@ document's connected component. No pair of copies is listed, and no link between
    the groups whose union holds it. How many of its tokens a class finds in a group bounds its
    overlap with every member, so only groups that reach the least possible number are opened.
    Classes joined by seeds count as one, and their own groups are left out.
-5. Members of opened groups are counted pair by pair against the exact number for their sizes, and
-   what is left is compared by text.
+5. Classes of one component in one group that still can't be told from those of another are compared
+   by text, chunk by chunk, up to the first link: it joins both components.
 
 Shingles are 64-bit hashes of words' 64-bit hashes. Words are cut at ASCII white space after
 lower-casing A-Z; fewer than five words make one shingle.
@@ -50,6 +50,8 @@ BAND = 1.06
 BLOCKS = 8
 STAND_IN = 1 << 62
 BLOOM = 22
+#: Classes of one entity that are compared at once, and their shingles.
+CHUNK, CHUNK_SHINGLES = 64, 100_000
 _TWISTS = [np.uint64((0xA0761D6478BD642F * (2 * k + 1)) & MASK | 1) for k in range(HASHES)]
 
 
@@ -239,8 +241,10 @@ def seed_pairs(classes: DataFrame) -> DataFrame:
             .filter(F.col("agree") >= AGREE).select("u", "v"))
 
 
-def matrix_pairs(tokens: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """(u, v): classes of different components that the token-group matrix can't tell apart."""
+def matrix_pairs(tokens: DataFrame, classes: DataFrame,
+                 labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of entities of different components that the token-group matrix can't tell apart, and
+    the classes (key, n, cap) that belong to entities."""
     # one entity: the classes of one component in one group
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(np.log(BAND)))).cast("int")
     members = stage(classes.join(labels, F.col("key") == F.col("node"), "left").select(
@@ -300,16 +304,68 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
                                                   F.col("high_2")))
                    & (7 * F.least("cap", "cap_2") >= 3 * (F.col("low") + F.col("low_2")))))
     met = stage(met.select(*entity, *[f"{c}_2" for c in entity]), "met")
-    left = members.select(F.col("key").alias("u"), F.col("n").alias("n_u"),
-                          F.col("cap").alias("cap_u"), *entity)
-    right = members.select(F.col("key").alias("v"), F.col("n").alias("n_v"),
-                           F.col("cap").alias("cap_v"),
-                           *[F.col(c).alias(f"{c}_2") for c in entity])
-    # the condition is the join's own: pairs that can't link are not made
-    fits = 7 * F.least("cap_u", "cap_v") >= 3 * (F.col("n_u") + F.col("n_v"))
-    same = [F.col(f"r.{c}_2") == F.col(f"l.{c}_2") for c in entity]
-    pairs = met.join(left, entity).alias("l").join(right.alias("r"), [*same, fits])
-    return pairs.select("u", "v")
+    return met, members
+
+
+def opened_links(met: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
+    """(u, v): a link between the classes of two entities that meet, if there is one.
+
+    The classes of an entity are one component already, so one link is enough, and what is compared
+    are chunks of bounded size: no row is made for a pair of classes.
+    """
+    entity = ["comp", "band", "block"]
+    parts = members.groupBy(*entity).agg(F.greatest(
+        F.ceil(F.count("*") / CHUNK), F.ceil(F.sum("n") / CHUNK_SHINGLES)).alias("parts"))
+    placed = members.join(parts, entity).select(
+        "key", *entity, F.pmod(F.xxhash64("key"), F.col("parts")).alias("part"))
+    chunks = placed.groupBy(*entity, "part").agg(F.min("key").alias("chunk"),
+                                                 F.count("*").alias("size"))
+    of_key = stage(placed.join(chunks, [*entity, "part"]).select("key", "chunk"), "chunk-keys")
+    chunks = stage(chunks.drop("part"), "chunks")
+    second = chunks.withColumnsRenamed({"chunk": "chunk_2", "size": "size_2",
+                                        **{c: f"{c}_2" for c in entity}})
+    first_is_large = F.col("size") >= F.col("size_2")
+    pairs = stage(met.join(chunks, entity).join(second, [f"{c}_2" for c in entity]).select(
+        F.when(first_is_large, F.col("chunk")).otherwise(F.col("chunk_2")).alias("large"),
+        F.when(first_is_large, F.col("chunk_2")).otherwise(F.col("chunk")).alias("small")),
+        "chunk-pairs")
+    wanted = (pairs.select(F.col("large").alias("chunk"))
+              .unionAll(pairs.select(F.col("small").alias("chunk"))).distinct())
+    mine = stage(of_key.join(wanted, "chunk", "left_semi"), "opened-keys")
+    texts = stage(maybe_in(keys, mine).join(mine, "key").groupBy("chunk").agg(
+        F.collect_list("key").alias("keys"), F.collect_list("text").alias("texts")), "chunk-texts")
+    both = (pairs.join(texts.select(F.col("chunk").alias("small"), F.col("keys").alias("keys_s"),
+                                    F.col("texts").alias("texts_s")), "small")
+            .join(texts.select(F.col("chunk").alias("large"), F.col("keys").alias("keys_l"),
+                               F.col("texts").alias("texts_l")), "large")
+            .select("large", "keys_s", "texts_s", "keys_l", "texts_l"))
+    schema = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed, last, own = WordHash(), None, []
+
+        def sets(texts):
+            return [shingle_set(hashed.of(words_of(t.encode().lower())), WIDTH) for t in texts]
+
+        def link(ids, others, keys_):
+            for u, a in zip(ids, others):
+                for v, b in zip(keys_, own):
+                    if 4 * len(a) >= 3 * len(b) and 4 * len(b) >= 3 * len(a):
+                        same = len(np.intersect1d(a, b, assume_unique=True))
+                        if 100 * same >= 75 * (len(a) + len(b) - same):
+                            return u, v
+            return None
+
+        for batch in slices(batches, 16):
+            found = []
+            for r in batch.to_pylist():  # rows come sorted by the large chunk
+                if r["large"] != last:
+                    last, own = r["large"], sets(r["texts_l"])
+                found.append(link(r["keys_s"], sets(r["texts_s"]), r["keys_l"]))
+            found = [x for x in found if x]
+            yield record(schema, [[u for u, _ in found], [v for _, v in found]])
+
+    return both.mapInArrow(work, "u long, v long").distinct()
 
 
 def class_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -324,8 +380,8 @@ def class_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.min("key").alias("key"), F.first("minima").alias("minima")), "classes")
     seeds = stage(linked(stage(seed_pairs(classes), "seed-pairs"), keys), "seed-links")
     joined = stage(components(seeds), "seed-labels")
-    more = linked(stage(matrix_pairs(cut_tokens(keys, classes, levels), classes,
-                                     joined), "pairs"), keys)
+    met, members = matrix_pairs(cut_tokens(keys, classes, levels), classes, joined)
+    more = opened_links(met, members, keys)
     labels = stage(components(seeds.unionByName(more)), "labels")
     found = stage(classes.join(labels, F.col("key") == F.col("node"), "left").select(
         "n", "a", "b", F.col("key").alias("first"), F.coalesce("label", "key").alias("label")),
