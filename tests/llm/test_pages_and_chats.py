@@ -32,6 +32,7 @@ def test_broken_pages():
     assert html_hosts.page_blocks("a < b <p")[1] == ["a < b <p"]
     assert html_hosts.page_blocks("<article><p>one<p>two</nav><b>three")[1] == ["one", "two", "three"]
     assert html_hosts.page_blocks("<div class=ad>x<p>y</div>z<script>never closed")[1] == ["z"]
+    assert html_hosts.page_blocks("<div class='wide has-sidebar'><p>x</p></div>")[1] == ["x"]
     assert html_hosts.page_blocks("<p " + "a='" * 3000 + ">x")[1] is not None
 
 
