@@ -12,7 +12,9 @@ FOLDER = "/root/testdata/sf0.001"
 KEYS = ["weekly_sales", "grid_labeled", "balanced_sample", "training_set_v2", "scoring_set_v2",
         "zone_features", "recommend_batch", "predict_filter", "predict_json", "encode_onehot",
         "standard_scale", "temporal_split", "random_split", "grid_full_cross",
-        "classification_report", "degradation_decision", "weekly_window_events"]
+        "classification_report", "degradation_decision", "weekly_window_events",
+        "ingest_incremental", "features_with_gaps", "impute_median", "impute_mode",
+        "grid_next_week", "scoring_set_v1"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")
 
