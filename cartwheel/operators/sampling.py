@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from cartwheel.functions import hash_bucket, hash_order
+from cartwheel.functions import hash_order
 from cartwheel.session import stage
 
 
@@ -26,17 +26,18 @@ def take_in_order(df: DataFrame, wanted: int, bucket: Column, order: list[Column
     """The first ``wanted`` rows of ``df`` by (bucket, order), exactly; all of them when there are
     fewer. ``bucket`` must be monotone in the order and split rows evenly.
 
-    Two passes: count rows per bucket, then keep whole buckets below the boundary and rank
-    inside buckets. A bucket is the largest group any task sorts.
+    Two passes: count rows per bucket, then keep whole buckets below the boundary as they are and
+    rank the boundary bucket alone, the only rows that are moved.
     """
     df = df.withColumn("_bucket", bucket)
     counts = df.groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n"))
     cut = _cut(counts, F.lit(wanted).cast("long")).scalar()
     last, need = cut.getField("bucket"), cut.getField("need")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
-    return (df.filter(last.isNull() | (F.col("_bucket") <= last)).withColumn("_rank", rank)
-            .filter(last.isNull() | (F.col("_bucket") < last) | (F.col("_rank") <= need))
-            .drop("_bucket", "_rank"))
+    below = df.filter(last.isNull() | (F.col("_bucket") < last))
+    edge = df.filter(F.col("_bucket") == last).withColumn("_rank", rank).filter(
+        F.col("_rank") <= need).drop("_rank")
+    return below.unionByName(edge).drop("_bucket")
 
 
 def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
@@ -66,23 +67,24 @@ def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
         share = (wanted + margin) / max(available, 1)
         low = F.lit(True) if share >= 1 else F.col("_h") < f"{int(share * 16 ** 8):08x}"
         near = stage(rows.filter(bought | (unbought & low)), "near")
-        cut = _cut_hash(near.filter(unbought), wanted)
-        if cut is not None or share >= 1:
-            break
+        cut = _cut_hash(near.filter(unbought).select("_h"), wanted,
+                        max(0.0, (wanted - margin) / max(available, 1)))
+        if cut is not None:
+            return near.filter(bought | (F.col("_h") <= cut)).drop("_h")
         margin *= 2
-    if cut is None:
-        return near.filter(bought).drop("_h")
-    return near.filter(bought | (F.col("_h") <= cut)).drop("_h")
 
 
-def _cut_hash(rows: DataFrame, wanted: int) -> str | None:
-    """The ``wanted``-th smallest ``_h``: bucket counts find its bucket, one bucket is ranked."""
-    if wanted == 0:
-        return None
-    counts = rows.groupBy(hash_bucket(F.col("_h")).alias("bucket")).agg(F.count("*").alias("n"))
-    cut = _cut(counts, F.lit(wanted).cast("long")).first().cut
-    if cut is None:
+def _cut_hash(rows: DataFrame, wanted: int, share: float) -> str | None:
+    """The ``wanted``-th smallest ``_h``, if it lies above ``share`` of the hash range.
+
+    Rows below are only counted. What is left up to the limit of the draw is a band of about
+    12 * sqrt(wanted) rows, which one task ranks.
+    """
+    edge = F.lit(f"{int(share * 16 ** 8):08x}")
+    need = wanted - rows.filter(F.col("_h") < edge).count()
+    if need < 1:
         return None
     rank = F.row_number().over(Window.orderBy("_h"))
-    inside = rows.filter(hash_bucket(F.col("_h")) == cut.bucket).select("_h")
-    return inside.withColumn("_r", rank).filter(F.col("_r") == cut.need).first()._h
+    found = (rows.filter(F.col("_h") >= edge).withColumn("_r", rank)
+             .filter(F.col("_r") == need).first())
+    return found._h if found else None

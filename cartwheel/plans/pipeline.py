@@ -6,15 +6,18 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartwheel.operators.drift import drift_decision, mmd_drift
-from cartwheel.operators.metrics import RETRAIN
+from cartwheel.operators.metrics import RETRAIN, degradation_decision, f1_expr
 from cartwheel.operators.tables import latest_week_split
-from cartwheel.plans.train import N_TRIALS, SEED, load_model, optimize, save_model, score_positive
+from cartwheel.plans.train import (
+    EXPERIMENT, N_TRIALS, SEED, load_model, optimize, save_model, score_positive,
+)
 from cartwheel.plans.training import training_set_v2
 from cartwheel.schemas import TRAINING_V2
 from cartwheel.sources.files import SKIP
+from cartwheel.sources.registry import best_run, search_runs
 from cartwheel.sources.tables import (
     read_customers, read_products, read_transactions, write_features,
 )
@@ -31,6 +34,8 @@ class Config:
     n_trials: int = N_TRIALS
     seed: int = SEED
     space: dict | None = field(default=None)
+    #: "drift" tests the newest week's inputs, "degradation" the model's F1 on the new table
+    check: str = "drift"
 
     def path(self, name: str) -> str:
         return f"{self.work_dir.rstrip('/')}/{name}"
@@ -44,6 +49,14 @@ def drift_step(model: PipelineModel, table: DataFrame) -> DataFrame:
     return drift_decision(mmd_drift(ref, new, features="features"))
 
 
+def degradation_step(model: PipelineModel, table: DataFrame, runs: DataFrame,
+                     experiment: str = EXPERIMENT) -> DataFrame:
+    """The model's F1 on a labelled table against the registry's best run, and the decision."""
+    current = model.transform(table).agg(f1_expr().alias("current_f1"))
+    best = best_run(runs, experiment).select(F.col("valid_f1").alias("best_f1"))
+    return degradation_decision(current.join(best, F.lit(True), "left"))  # one row each
+
+
 PENDING, DONE = "pending", "done"
 
 
@@ -83,7 +96,9 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     out = {"training": cfg.path("training"), "model": cfg.path("model")}
     try:
         model = load_model(cfg.path("model"))
-        decision = drift_step(model, table).first().decision
+        step = drift_step(model, table) if cfg.check == "drift" else degradation_step(
+            model, table, search_runs(spark, cfg.path("runs")))
+        decision = step.first().decision
     except Exception as reason:  # noqa: BLE001 - any failure of the check means: train again
         model, decision, out["reason"] = None, RETRAIN, f"{type(reason).__name__}"
     if decision == RETRAIN:

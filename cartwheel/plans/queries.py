@@ -356,13 +356,17 @@ def classification_report(spark, folder):
 
 
 def _runs(spark, folder) -> DataFrame:
-    """One experiment per brand; its five trials are size limits 10 to 50 used as a rule."""
+    """Runs written to a registry and read back: one experiment per brand; its five trials are size
+    limits 10 to 50 used as a rule."""
     trials = _judged(spark, folder).select(
         "brand", "target", "size", F.explode(F.sequence(F.lit(1), F.lit(5))).alias("trial"))
     trials = trials.withColumn("prediction", (F.col("size") <= F.col("trial") * 10).cast("int"))
-    return (trials.groupBy(F.col("brand").alias("experiment"), "trial")
+    runs = (trials.groupBy(F.col("brand").alias("experiment"), "trial")
             .agg(metrics.f1_expr().alias("valid_f1"))
             .withColumn("run_id", F.concat_ws("-", "experiment", "trial")))
+    path = scratch_path(spark, "runs")
+    registry.log_runs(runs, path)
+    return registry.search_runs(spark, path)
 
 
 def runs_search(spark, folder):

@@ -20,6 +20,16 @@ def log_run(spark: SparkSession, path: str, experiment: str, trial: int, valid_f
     return run_id
 
 
+def log_runs(runs: DataFrame, path: str) -> None:
+    """Append many runs (experiment, run_id, trial, valid_f1; other columns of RUNS if there)."""
+    known = {c: F.col(c) for c in runs.columns}
+    known.setdefault("run_name", F.format_string("trial_f1_%.4f", "valid_f1"))
+    known.setdefault("params", F.lit(None))
+    known.setdefault("ts", F.current_timestamp())
+    runs.select(*[known[f.name].cast(f.dataType).alias(f.name) for f in RUNS]).write.mode(
+        "append").parquet(path)
+
+
 def search_runs(spark: SparkSession, path: str, experiment: str | None = None) -> DataFrame:
     runs = spark.read.schema(RUNS).parquet(path)
     return runs if experiment is None else runs.filter(F.col("experiment") == experiment)

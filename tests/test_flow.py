@@ -195,3 +195,22 @@ def test_exact_median(spark):
         s = sorted(values)
         assert exact_median(df, "v") == (s[n // 2] + s[(n - 1) // 2]) / 2
     assert exact_median(spark.createDataFrame([(None,)], "v double"), "v") is None
+
+
+def test_degradation_against_the_registry(spark, tmp_path):
+    """A model far below the registry's best is trained again, one close to it is used."""
+    from types import SimpleNamespace
+
+    from cartwheel.operators.metrics import PREDICT, RETRAIN
+    from cartwheel.plans.pipeline import degradation_step
+    from cartwheel.sources import registry
+    table = spark.createDataFrame([(1, 1.0), (1, 1.0), (1, 0.0), (0, 0.0)],
+                                  "target int, prediction double")  # F1 = 0.8
+    model = SimpleNamespace(transform=lambda df: df)
+    for best, want in ((0.95, RETRAIN), (0.82, PREDICT)):
+        path = str(tmp_path / str(best))
+        registry.log_run(spark, path, "purchase_propensity", 1, 0.1, {})
+        registry.log_run(spark, path, "purchase_propensity", 2, best, {})
+        registry.log_run(spark, path, "another", 1, 1.0, {})
+        got = degradation_step(model, table, registry.search_runs(spark, path)).first()
+        assert got.decision == want and got.current_f1 == pytest.approx(0.8)
