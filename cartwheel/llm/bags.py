@@ -50,7 +50,8 @@ def corpus_counts(docs: DataFrame, bag: Callable[..., dict], kind: str) -> DataF
         if total:
             yield record(schema, [list(total), list(total.values())])
 
-    return (docs.select(*[c for c in ("text", "mark") if c in docs.columns]).mapInArrow(count, f"token {kind}, n long")
+    given = [c for c in ("text", "mark") if c in docs.columns]
+    return (docs.select(*given).mapInArrow(count, f"token {kind}, n long")
             .groupBy("token").agg(F.sum("n").alias("n")))
 
 
@@ -71,7 +72,8 @@ def hottest(values: DataFrame, names: list[str], hot: int) -> tuple[dict, np.nda
 def document_sums(docs: DataFrame, bag: Callable[..., dict], values: DataFrame,
                   names: list[str], kind: str, own: Callable[[bytes, dict], tuple],
                   own_names: list[str], hot: int) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text, perhaps mark): doc_id, ``own_names`` (long) and ``names``.
+    """One row per row of ``docs`` (doc_id, text, perhaps mark): doc_id, ``own_names`` (long) and
+    ``names``.
 
     ``own`` measures a document from its text and bag. Each of ``names`` is the sum over the
     document's tokens of count times value (double); a token without a value adds nothing.

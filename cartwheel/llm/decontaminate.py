@@ -30,7 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from cartwheel.llm.common import WordHash, mix64, window_hashes
+from cartwheel.llm.common import WordHash, window_hashes
 
 WIDTH = 5
 SIMILARITY = 0.75

@@ -29,7 +29,8 @@ NORMALISER = ["NFC", "Replace", "Lowercase"]
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 #: The same pattern for texts of U+0000 to U+017F without U+0130, where classes can be listed.
-_LETTER, _NUMBER, _SPACE = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_LETTER = "A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-ſ"
+_NUMBER, _SPACE = "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
 _PLAIN = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 _OTHER = re.compile("[^\x00-įı-ſ]")
 

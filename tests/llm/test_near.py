@@ -112,7 +112,8 @@ def test_contraction(spark):
     for a, b in edges:
         x, y = root(a), root(b)
         parent[max(x, y)] = min(x, y)
-    got = {r.node: r.label for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    frame = spark.createDataFrame(edges, "u long, v long")
+    got = {r.node: r.label for r in components(frame).collect()}
     loops = {a for a, b in edges if a == b and sum(a in e for e in edges) == 1}
     assert got == {x: root(x) for x in parent if x in got}
     assert set(parent) - set(got) <= {x for x in parent if all(a == b for a, b in edges if x in (a, b))}
