@@ -41,8 +41,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 #: Distinct cuts whose paths a worker remembers.
-REMEMBERED = 350_000
-PAIRS = 300_000
+REMEMBERED = 100_000
+PAIRS = 100_000
 
 
 def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
