@@ -41,8 +41,8 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 #: Distinct cuts whose paths a worker remembers.
-REMEMBERED = 100_000
-PAIRS = 100_000
+REMEMBERED = 350_000
+PAIRS = 300_000
 
 
 def message_fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -249,6 +249,12 @@ class PieceMachine:
                 [self.ids[p]] if p in self.ids else [self.byte_id[b] for b in p.encode()]
                 for p in path)).tobytes()
 
+    def forget(self) -> None:
+        """Gives back the memory of paths and pairs: a worker process outlives its task."""
+        self.paths.clear()
+        self.paths.older = {}
+        self.pairs.clear()
+
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
 
@@ -319,6 +325,7 @@ def _encoded(docs: DataFrame, model: str, back: bool) -> DataFrame:
             if back:
                 columns.append(pa.array([fst.decode(i.tolist()) for i in ids], pa.string()))
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        fst.forget()
 
     ddl = "doc_id long, n_chars long, pieces array<int>" + ", text string" * back
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, ddl)
