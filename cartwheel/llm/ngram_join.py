@@ -260,8 +260,10 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame,
     shared = (mine.groupBy("token").agg(F.min("key").alias("first"), F.max("key").alias("last"))
               .filter("first <> last").select("token"))
     mine = stage(mine.join(shared, "token"), "shared-tokens")
-    # of a class's cut tokens those that no other class holds lie outside every overlap
-    caps = mine.groupBy("key").agg(F.count("*").alias("s"), F.first("n").alias("n")).select(
+    # of two sets, the one whose cut ends first in the common order has those of its cut tokens that
+    # lie in the overlap in the other's cut too; so the larger of both caps bounds the overlap, and
+    # the smaller need not: the other's cut may hold tokens of the uncut rest of the first
+    caps = mine.groupBy("key").agg(F.count("*").alias("s"), F.max("n").alias("n")).select(
         "key", (F.ceil(F.col("n") * 0.75) - 1 + F.col("s")).alias("cap"))
     members = stage(members.join(caps, "key"), "capped-members")
     postings = stage(mine.groupBy("token", *entity).agg(F.count("*").alias("rows")).drop("rows"),
@@ -285,7 +287,7 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame,
     opened = stage(found.join(sizes, entity).join(g, ["g_band", "g_block"])
                    .filter((F.col("c") >= required_within(
                        F.col("low"), F.col("high"), F.col("g_low"), F.col("g_high")))
-                       & (7 * F.least("cap", "g_cap") >= 3 * (F.col("low") + F.col("g_low"))))
+                       & (7 * F.greatest("cap", "g_cap") >= 3 * (F.col("low") + F.col("g_low"))))
                    .select(*entity, "g_band", "g_block", "low", "high", "cap"), "opened")
     # open: an entity meets those entities of its opened groups that open its own group too
     one = postings.join(opened, entity)
@@ -302,7 +304,7 @@ def matrix_pairs(tokens: DataFrame, classes: DataFrame,
                                                      "high_2", "cap_2")])
            .filter((F.col("c") >= required_within(F.col("low"), F.col("high"), F.col("low_2"),
                                                   F.col("high_2")))
-                   & (7 * F.least("cap", "cap_2") >= 3 * (F.col("low") + F.col("low_2")))))
+                   & (7 * F.greatest("cap", "cap_2") >= 3 * (F.col("low") + F.col("low_2")))))
     met = stage(met.select(*entity, *[f"{c}_2" for c in entity]), "met")
     return met, members
 

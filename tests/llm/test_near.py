@@ -71,6 +71,30 @@ def test_matrix_alone_finds_every_link(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in got} == brute_components(rows)
 
 
+def growing(seed):
+    """Isolated pairs and chains in which each text contains the one before, or is cut from it."""
+    random.seed(seed)
+    rows, d = [], 0
+    for f, share in enumerate([0.75, 0.77, 0.8, 0.83, 0.86, 0.89] * 3):
+        own = [f"g{f}x{i}" for i in range(random.choice([84, 104, 164]))]
+        for k in range(2 + f % 3):
+            rows.append((d, " ".join(own)))
+            d += 1
+            n = len(own) - 4
+            if f % 2:
+                own = own[:4 + -int(-n * share // 1)]
+            else:
+                own = own + [f"g{f}k{k}y{i}" for i in range(int(n / share) - n)]
+    return rows
+
+
+def test_matrix_alone_links_growing_and_truncated_copies(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "AGREE", 99)
+    rows = growing(4)
+    got = ngram_join.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == brute_components(rows)
+
+
 def test_required_numbers_never_exceed_the_truth(spark):
     """Sets that link at the least possible overlap share at least the required cut tokens."""
     for a in range(1, 60):
