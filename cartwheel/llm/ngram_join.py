@@ -69,22 +69,18 @@ def needed(n: int) -> int:
     return -(-3 * n // 4)
 
 
-def required(a: Column, b: Column) -> Column:
-    """Tokens that the cut sets of two linked sets of sizes ``a`` and ``b`` share at least."""
-    overlap = F.ceil(3 * (a + b) / F.lit(7.0))
-    return F.greatest(F.lit(1), overlap - F.ceil(F.greatest(a, b) * 0.75) + 1)
-
-
 def required_within(low: Column, high: Column, other_low: Column, other_high: Column) -> Column:
-    """The least of ``required`` over sizes in two ranges; null if no two of them can link."""
-    def part(top: Column, rest_low: Column, rest_high: Column) -> Column:
-        # least at the largest size ``top`` with the smallest partner that may link to it
-        least = F.greatest(rest_low, F.ceil(top * 0.75))
-        return F.when(least > rest_high, F.lit(1)).otherwise(required(top, least))
+    """A lower bound of the tokens that the cut sets of two linked sets share, with sizes in two
+    ranges; null if no two of them can link.
 
+    Sets of sizes a >= b overlap in ceil(3 (a + b) / 7) or more, of which the larger one's uncut rest
+    takes ceil(0.75 a) - 1 at most. With ceil(0.75 a) <= 0.75 a + 0.75, no less than
+    (12 b - 9 a + 7) / 28 are shared, which is least for the smallest b and the largest a: at most one
+    below the least over all sizes, whose ceilings go up and down.
+    """
+    least = F.least(12 * other_low - 9 * high, 12 * low - 9 * other_high) + 7
     apart = (low * 0.75 > other_high) | (other_low * 0.75 > high)
-    return F.when(~apart, F.least(part(high, other_low, other_high),
-                                  part(other_high, low, high)))
+    return F.when(~apart, F.greatest(F.lit(1), F.ceil(least / F.lit(28.0))))
 
 
 def shingle_rows(keys: DataFrame) -> DataFrame:

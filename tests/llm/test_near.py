@@ -106,6 +106,22 @@ def test_required_numbers_never_exceed_the_truth(spark):
             assert shared <= cut
 
 
+def test_required_within_never_exceeds_the_least_over_all_sizes(spark):
+    def exact(a, b):
+        if 4 * min(a, b) < 3 * max(a, b):
+            return None
+        return max(1, -(-3 * (a + b) // 7) - ngram_join.needed(max(a, b)) + 1)
+
+    ranges = [(41, 41, 42, 44)] + [(a, a + k, b, b + m) for a in range(1, 90, 3) for k in (0, 1, 4)
+                                   for b in range(1, 90, 2) for m in (0, 2, 5)]
+    frame = spark.createDataFrame(ranges, "a long, b long, c long, d long")
+    got = frame.select("*", ngram_join.required_within(*map(frame.__getitem__, "abcd")).alias("n"))
+    for a, b, c, d, n in got.collect():
+        all_ = [exact(x, y) for x in range(a, b + 1) for y in range(c, d + 1)]
+        found = [x for x in all_ if x is not None]
+        assert not found or n is not None and min(found) - 1 <= n <= min(found), (a, b, c, d, n)
+
+
 def test_rows_of_any_kind(docs, no_docs):
     got = ngram_join.near_components(docs).collect()
     by_id = {}
