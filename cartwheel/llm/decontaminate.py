@@ -7,7 +7,10 @@
 3. Fingerprints are cut into four blocks of 16 bits. If two differ in at most RADIUS = 15 bits,
    some block differs in at most three; a table per block and class lists all such block values, so
    every item within the radius is found.
-4. Around each such window the best stretch is searched by the exact weighted Jaccard similarity of
+4. No hit rests on the windows alone: a hit holds three quarters of an item's weight, so it holds one
+   of the item's heaviest shingles that weigh more than a quarter together. An index of these names
+   every item that a text may hold.
+5. For each such item the best stretch is searched by the exact weighted Jaccard similarity of
    5-word shingles; a shingle that occurs in k items weighs 1/k, any other 1. From 0.75 on it is
    a hit. Items of fewer than five words have one shingle, of all their words.
 
@@ -120,9 +123,20 @@ class Screen:
                     near[b, part ^ _NEAR] = True
             self.classes[size] = (np.array(own), near)
         # every width's shingles of all items, to look for the first exact trace of a hit
-        self.known = {w: np.sort(np.array([x for i in self.items if i.width == w
-                                           for x in i.weights], np.uint64))
+        self.known = {w: np.unique(np.array([x for i in self.items if i.width == w
+                                             for x in i.weights], np.uint64))
                       for w in {i.width for i in self.items}}
+        # the items that a shingle is a heaviest one of: a hit holds one of each item's
+        self.anchors: dict[int, dict[int, list]] = {w: {} for w in self.known}
+        for i, item in enumerate(self.items):
+            left = 0.25 * item.total + 1e-9
+            for x in sorted(item.weights, key=lambda x: (-item.weights[x], x)):
+                self.anchors[item.width].setdefault(x, []).append(i)
+                left -= item.weights[x]
+                if left < 0:
+                    break
+        self.anchored = {w: np.sort(np.fromiter(found, np.uint64, len(found)))
+                         for w, found in self.anchors.items()}
 
     def candidates(self, sums: np.ndarray, begin: np.ndarray, n: np.ndarray) -> set:
         """(stretch, item, window start) of all windows within the radius."""
@@ -151,26 +165,35 @@ class Screen:
                                  start[rows[r]].tolist()))
         return found
 
-    def best(self, item: Item, shingles: np.ndarray) -> tuple[float, int, int]:
-        """(similarity, first, last) of the best stretch of a region's shingles."""
-        weight = np.array([item.weights.get(x, 0.0) for x in shingles.tolist()])
-        at = np.flatnonzero(weight)
-        if not len(at):
-            return 0.0, 0, 0
-        once = weight.copy()  # a shingle that comes again counts once
-        seen: set = set()
-        for k in at.tolist():
-            if int(shingles[k]) in seen:
-                once[k] = 0.0
-            seen.add(int(shingles[k]))
-        common = np.concatenate([[0.0], np.cumsum(once)])
-        other = np.concatenate([[0], np.cumsum(weight == 0)])
-        a, b = np.meshgrid(at, at + 1, indexing="ij")
-        ok = b > a
-        same = np.where(ok, common[b] - common[a], 0.0)
-        value = same / (item.total + np.where(ok, other[b] - other[a], 0))
-        k = int(np.argmax(value))
-        return float(value.flat[k]), int(a.flat[k]), int(b.flat[k])
+    def best(self, item: Item, at: np.ndarray, shingles: np.ndarray) -> tuple[float, int, int]:
+        """(similarity, first, last) of the best stretch, from the item's shingles at places ``at``.
+
+        A best stretch may start with a shingle that doesn't come again in it, so from each place it
+        is sought up to the next one of the same shingle; a shingle counts once in a stretch.
+        """
+        spare = item.total * (1 / SIMILARITY - 1) + 1e-9  # what a hit may hold besides the item
+        found = 0.0, 0, 0
+        for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) - 1 > spare) + 1):
+            own, places = shingles[run].tolist(), at[run]
+            if sum(item.weights[x] for x in set(own)) < SIMILARITY * item.total - 1e-9:
+                continue
+            weight = np.array([item.weights[x] for x in own])
+            last, before = {}, np.full(len(own), -1)
+            after = np.full(len(own), len(own))
+            for k, x in enumerate(own):
+                if x in last:
+                    before[k] = last[x]
+                    after[last[x]] = k
+                last[x] = k
+            other = places - np.arange(len(own))  # shingles of no item before each place
+            for a in range(len(own)):
+                b = min(int(after[a]), int(np.searchsorted(other, other[a] + spare, "right")))
+                same = np.cumsum(np.where(before[a:b] < a, weight[a:b], 0.0))
+                value = same / (item.total + other[a:b] - other[a])
+                k = int(np.argmax(value))
+                if value[k] > found[0]:
+                    found = float(value[k]), int(places[a]), int(places[a + k]) + 1
+        return found
 
     def hits(self, texts: list[bytes], hashed: WordHash) -> list[list[dict]]:
         """Per text, its items with similarity, first word and number of words."""
@@ -208,28 +231,37 @@ class Screen:
         h = hashed.of(flat)
         sums = running_sums(h, np.fromiter(map(len, flat), np.int64, len(flat)),
                             2 * max(i.n for i in self.items))
-        traces = {}  # per width: running count of windows whose shingle some item has
+        traces, pairs = {}, set()  # per width: places whose shingle some item has, and these
+        owners = np.repeat(np.arange(len(n)), n)
         for width, known in self.known.items():
             s = window_hashes(h, width)
-            at = np.minimum(np.searchsorted(known, s), max(len(known) - 1, 0))
-            traces[width] = (s, np.concatenate([[0], np.cumsum(known[at] == s)]))
-        for k, i, start in sorted(self.candidates(sums, begin, n)):
+            if not len(s):
+                continue
+            place = np.flatnonzero(known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s)
+            # not across the end of a stretch
+            place = place[place + width <= (begin + n)[owners[place]]]
+            traces[width] = place, s[place]
+            some = self.anchored[width]
+            is_one = some[np.minimum(np.searchsorted(some, s[place]), len(some) - 1)] == s[place]
+            for k, x in set(zip(owners[place[is_one]].tolist(), s[place[is_one]].tolist())):
+                pairs.update((k, i) for i in self.anchors[width][x])
+        pairs.update((k, i) for k, i, _ in self.candidates(sums, begin, n))
+        for k, i in sorted(pairs):
             item = self.items[i]
-            low = max(0, start - item.n // 2)
-            high = min(int(n[k]), start + item.n + item.n // 2 + item.n // 4 + 2) - item.width + 1
-            if high <= low:
+            if item.width not in traces:
                 continue
-            s, trace = traces[item.width]
-            low_, high_ = int(begin[k]) + low, int(begin[k]) + high
-            if trace[high_] == trace[low_]:
+            place, s = traces[item.width]
+            low, high = np.searchsorted(place, [begin[k], begin[k] + n[k]])
+            mine = np.array([x in item.weights for x in s[low:high].tolist()], bool)
+            if not mine.any():
                 continue
-            value, a, b = self.best(item, s[low_:high_])
+            value, a, b = self.best(item, place[low:high][mine] - begin[k], s[low:high][mine])
             if value >= SIMILARITY - 1e-12:
                 known = out[owner[k]].get(i)
                 if known is None or value > known["similarity"]:
                     out[owner[k]][i] = {
                         "item_id": item.item_id, "similarity": value,
-                        "first_word": offset[k] + low + a, "n_words": b - a + item.width - 1}
+                        "first_word": offset[k] + a, "n_words": b - a + item.width - 1}
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:

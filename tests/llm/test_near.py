@@ -195,6 +195,30 @@ def test_items_in_documents(spark, docs):
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
 
 
+def test_every_exact_edited_and_truncated_item_is_found():
+    """At random offsets, whatever brute force puts at 0.75 or more (no shingle is in two items)."""
+    random.seed(8)
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(n)))
+             for i, n in enumerate([8, 21, 34, 40, 53, 59, 77, 96, 120])]
+    texts, want = [], []
+    for item, text in items * 24:
+        words, kind = text.split(), len(texts) // 9 % 3
+        if kind == 1:
+            words[random.randrange(len(words))] = "edited"
+        elif kind == 2:
+            words = words[:4 + -int(-(len(words) - 4) * random.uniform(0.75, 0.9) // 1)]
+        at = random.randrange(200)
+        filler = [random.choice(["the", "of", "and", f"f{random.randrange(900)}"]) for _ in range(300)]
+        # a stray passage of the item before must not take its shingles from the whole one
+        texts.append(" ".join(text.split()[:6] + filler[:at] + words + filler[at:]).encode())
+        s, t = shingles(text), shingles(" ".join(words))
+        if len(s & t) >= 0.75 * len(s | t):
+            want.append((len(texts) - 1, item, len(s & t) / len(s | t)))
+    found = decontaminate.Screen(items).hits(texts, decontaminate.WordHash())
+    got = {(d, x["item_id"]): x["similarity"] for d, own in enumerate(found) for x in own}
+    assert len(want) > 150 and not [w for w in want if got.get(w[:2], 0) < w[2] - 1e-9]
+
+
 def test_radius_is_covered():
     """Every value within RADIUS bits agrees with some block's table."""
     import numpy as np
