@@ -11,7 +11,8 @@
    of the item's heaviest shingles that weigh more than a quarter together. An index of these names
    every item that a text may hold.
 5. For each such item the best stretch is searched by the exact weighted Jaccard similarity of
-   5-word shingles; a shingle that occurs in k items weighs 1/k, any other 1. From 0.75 on it is
+   5-word shingles; a shingle that occurs in k distinct item texts of the whole
+   benchmark weighs 1/k, one that is not in the item the item's mean. From 0.75 on it is
    a hit. Items of fewer than five words have one shingle, of all their words.
 
 Items come in blocks of bounded size, each sent to all tasks in one pass over the documents; whole
@@ -31,9 +32,10 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartwheel.llm.common import WordHash, window_hashes
+from cartwheel.llm.common import WordHash, record, slices, stage, texts_of, window_hashes
 
 WIDTH = 5
 SIMILARITY = 0.75
@@ -90,9 +92,10 @@ class Item:
 class Screen:
     """One block of items, ready to be held against documents."""
 
-    def __init__(self, rows: list[tuple]):
+    def __init__(self, rows: list[tuple], times: dict | None = None):
+        """``times``: the distinct item texts of each shingle with several; else found from rows."""
         hashed, self.items, prints = WordHash(), [], []
-        shingles = []
+        shingles, texts = [], {}
         for item_id, text in rows:
             words = clean_words((text or "").encode())
             if not words:
@@ -100,15 +103,17 @@ class Screen:
             h = hashed.of(words)
             width = min(WIDTH, len(words))
             shingles.append(set(window_hashes(h, width).tolist()))
+            texts[b" ".join(words)] = shingles[-1]
             sums = running_sums(h, np.array(list(map(len, words))), len(words))
             prints.append(fingerprints(sums, np.array([0]), np.array([len(words)]))[0])
             self.items.append(Item(item_id, len(words), width, {}, 0.0))
-        times: dict = {}
-        for s in shingles:
-            for x in s:
-                times[x] = times.get(x, 0) + 1
+        if times is None:
+            times = {}
+            for s in texts.values():
+                for x in s:
+                    times[x] = times.get(x, 0) + 1
         for item, s in zip(self.items, shingles):
-            item.weights = {x: 1.0 / times[x] for x in s}
+            item.weights = {x: 1.0 / times.get(x, 1) for x in s}
             item.total = sum(item.weights.values())
         self.prints = np.array(prints, np.uint64)
         self.classes: dict[int, tuple] = {}
@@ -171,7 +176,9 @@ class Screen:
         A best stretch may start with a shingle that doesn't come again in it, so from each place it
         is sought up to the next one of the same shingle; a shingle counts once in a stretch.
         """
-        spare = item.total * (1 / SIMILARITY - 1) + 1e-9  # what a hit may hold besides the item
+        mean = item.total / len(item.weights)
+        # shingles that a hit may hold besides the item's
+        spare = len(item.weights) * (1 / SIMILARITY - 1) + 1e-9
         found = 0.0, 0, 0
         for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) - 1 > spare) + 1):
             own, places = shingles[run].tolist(), at[run]
@@ -189,7 +196,7 @@ class Screen:
             for a in range(len(own)):
                 b = min(int(after[a]), int(np.searchsorted(other, other[a] + spare, "right")))
                 same = np.cumsum(np.where(before[a:b] < a, weight[a:b], 0.0))
-                value = same / (item.total + other[a:b] - other[a])
+                value = same / (item.total + mean * (other[a:b] - other[a]))
                 k = int(np.argmax(value))
                 if value[k] > found[0]:
                     found = float(value[k]), int(places[a]), int(places[a + k]) + 1
@@ -264,17 +271,43 @@ class Screen:
                         "first_word": offset[k] + a, "n_words": b - a + item.width - 1}
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple]]:
-    """The items as (item_id, text), in blocks of bounded number and size."""
+def item_shingles(texts: DataFrame) -> DataFrame:
+    """(x): every shingle of each distinct text, read as words."""
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch({"words": pa.array(
+                [b" ".join(clean_words(t)) for t in texts_of(batch)], pa.binary())})
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashed, schema = WordHash(), pa.schema([("x", pa.int64())])
+        for batch in slices(batches):
+            for t in texts_of(batch, "words"):
+                h = hashed.of(t.split())
+                if len(h):
+                    s = np.unique(window_hashes(h, min(WIDTH, len(h))))
+                    yield record(schema, [s.view(np.int64)])
+
+    return texts.select("text").mapInArrow(words, "words binary").distinct().mapInArrow(cut, "x long")
+
+
+def item_blocks(benchmark: DataFrame) -> Iterator[tuple[list[tuple], dict]]:
+    """The items as (item_id, text), in blocks of bounded number and size, each with the number of
+    distinct item texts of the whole benchmark for those of its shingles that are in several."""
     rows = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, -(-2 * n // PASS_ITEMS) if n > PASS_ITEMS else 1, -(-2 * size // PASS_BYTES)
                  if size > PASS_BYTES else 1)
     place = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    several = stage(item_shingles(rows).groupBy("x").agg(F.count("*").alias("k")).filter("k > 1"),
+                    "item-shingles")
     for b in range(blocks):
         found = rows.filter(place == b).orderBy("item_id", "text").collect()
         if found:
-            yield [tuple(r) for r in found]
+            own = item_shingles(rows.filter(place == b)).distinct()
+            times = several.join(own, "x").select("x", "k").toArrow()
+            yield [tuple(r) for r in found], dict(zip(
+                np.asarray(times.column("x")).astype(np.int64).view(np.uint64).tolist(),
+                times.column("k").to_pylist()))
 
 
 def _searcher(screen):
@@ -292,8 +325,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, column: str = "hits") -> Da
     spark = docs.sparkSession
     none = F.array().cast(HIT)
     total = none
-    for rows in item_blocks(benchmark):
-        search = F.pandas_udf(_searcher(spark.sparkContext.broadcast(Screen(rows))), HIT)
+    for rows, times in item_blocks(benchmark):
+        search = F.pandas_udf(_searcher(spark.sparkContext.broadcast(Screen(rows, times))), HIT)
         total = F.concat(total, search(F.col("text")))
     return docs.withColumn(column, F.coalesce(total, none))
 

@@ -219,6 +219,27 @@ def test_every_exact_edited_and_truncated_item_is_found():
     assert len(want) > 150 and not [w for w in want if got.get(w[:2], 0) < w[2] - 1e-9]
 
 
+def test_weights_count_the_whole_benchmark(spark, monkeypatch):
+    """The same verdicts in one block and in many, and for items that are listed more than once."""
+    common = [f"c{k}" for k in range(12)]
+    texts = [" ".join(common + [f"i{i}w{k}" for k in range(40)]) for i in range(6)]
+    items = [(i, t) for i, t in enumerate(texts)] + [(20, texts[0]), (21, texts[0].upper() + "!")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(0, "f0 f1 " + texts[0].replace("i0w14", "other") + " f2"), (1, texts[1]),
+            (2, " ".join(common)), (3, " ".join(texts[2].split()[:36]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def found():
+        return sorted((r.doc_id, r.item_id, round(r.similarity, 9))
+                      for r in decontaminate.contaminated(docs, bench).collect())
+
+    whole = found()
+    assert {(d, i) for d, i, _ in whole} >= {(0, 0), (0, 20), (0, 21), (1, 1)}
+    assert all(d != 2 for d, _, _ in whole)
+    monkeypatch.setattr(decontaminate, "PASS_ITEMS", 4)
+    assert found() == whole
+
+
 def test_radius_is_covered():
     """Every value within RADIUS bits agrees with some block's table."""
     import numpy as np
