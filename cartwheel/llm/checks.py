@@ -59,5 +59,27 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM d
 """
 
+MIXING = """
+WITH docs AS (SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+  ('0x' || substr(md5('42|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT AS h
+  FROM documents),
+sources AS (SELECT k, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY k),
+weighed AS (SELECT *, [3e0, 1e0, 2e0][1 + (row_number() OVER (ORDER BY k) - 1) % 3] AS weight,
+  source_size * 2e0 AS cap FROM sources),
+levels AS (SELECT *, (sum(source_size) OVER () * 1.5e0 - coalesce(sum(cap) OVER before, 0e0))
+  / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0e0)) AS level FROM weighed
+  WINDOW before AS (ORDER BY cap / weight, k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+aims AS (SELECT k, source_size, least(cap, weight * max(level) OVER ()) AS target FROM levels),
+steps AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(least(8589934592e0,
+  floor(target / source_size * 4294967296e0 + 0.5e0)) AS HUGEINT) ELSE 0 END AS step,
+  ('0x' || substr(md5('42|offset|' || k), 1, 8))::HUGEINT AS start FROM aims),
+placed AS (SELECT *, start + sum(step) OVER (PARTITION BY k ORDER BY CASE WHEN size < 32 THEN size
+  ELSE length(bin(size)) * 32 + (size >> greatest(length(bin(size)) - 5, 0)) END, h, size, doc_id NULLS FIRST
+  ROWS UNBOUNDED PRECEDING) AS reach FROM docs JOIN steps USING (k))
+SELECT doc_id, size, source_size, target,
+  CAST(size * (reach // 4294967296 - (reach - step) // 4294967296) AS BIGINT) AS taken FROM placed
+"""
+
 LLM_CHECKS = {"op1_ngram_join": NGRAM_JOIN, "op4_chat_formatting": CHAT_FORMATTING,
-              "op10_warc": WARC}
+              "op10_warc": WARC, "op12_mixing": MIXING}

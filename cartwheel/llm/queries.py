@@ -76,6 +76,38 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from cartwheel.llm.alignment import aligned_documents
+    return aligned_documents(table(spark, sf_dir, "documents"),
+                             public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh 3, 1, 2 in turn; the mix has 1.5 times all words, a source 2 times its own."""
+    from cartwheel.llm.mixing import mix
+    return mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every whole text; about every tenth text is given a periodic end first."""
+    from cartwheel.llm.periodic_runs import document_runs, greatest_exponent, periodic_tail
+    found = document_runs(table(spark, sf_dir, "documents"), change=periodic_tail)
+    line = F.transform("runs", lambda r: F.concat_ws(
+        ",", r["start"], r["length"], r["period"]))
+    lines = F.when(F.size("runs") == 0, "").otherwise(
+        F.concat(F.array_join(line, "\n"), F.lit("\n")))
+    best = F.col("best")
+    return found.withColumn("best", greatest_exponent("runs")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,4 +116,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_html_extraction, op3_sentencepiece, op4_chat_formatting, op5_decontamination,
     op6_lm_scoring, op7_sharding, op8_token_counts,
-    op9_quality, op10_warc, pipeline)}
+    op9_quality, op10_warc,
+    op11_alignment, op12_mixing, op13_periodic_runs, pipeline)}
