@@ -132,7 +132,7 @@ def runs_of(codes: list[int], least: int = LEAST, periods: int = PERIODS) -> set
     back = a[::-1]
     found: set[tuple] = set()
     for symbols in (codes, (-a).tolist()):
-        for first, roots, p in _chains(a, np.array(lyndon_array(symbols)), least, periods):
+        for first, roots, p in _chains(a, np.array(lyndon_array(symbols), np.int64), least, periods):
             at, last = first, first + (roots - 1) * p
             while at <= last:
                 end = at + p + _forward(a, at + p, p)
