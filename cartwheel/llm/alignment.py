@@ -41,8 +41,9 @@ EXPANDED = 2_000_000
 #: Most frequent pairs that are broadcast: about 10 MB.
 HOT = 200_000
 
-# Fixed value: the space mark of sentencepiece files.
+# The space mark of sentencepiece files, and what byte-level vocabularies cut at.
 MARK = "▁"
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class ByteBpe:
@@ -57,13 +58,33 @@ class ByteBpe:
         value = {c: b for b, c in enumerate(byte_letters())}
         self.bytes = [b""] * self.library.get_vocab_size()
         with open(path, encoding="utf-8") as f:
-            specials = {t["id"] for t in json.load(f).get("added_tokens", [])}
+            spec = json.load(f)
+        specials = {t["id"] for t in spec.get("added_tokens", [])}
         for token, i in self.library.get_vocab().items():
             if i not in specials:
                 self.bytes[i] = bytes([value[c] for c in token])
+        self.ranks = self._ranks(spec, specials)
+
+    def _ranks(self, spec: dict, specials: set[int]):
+        """A faster engine with the same ids, where ids are the merges' order; else None."""
+        import tiktoken
+        model, cut = spec["model"], spec.get("pre_tokenizer") or {}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model.get("merges", [])]
+        vocab, ends = model.get("vocab", {}), model.get("end_of_word_suffix")
+        in_order = all(vocab.get(x + y) == 256 + k for k, (x, y) in enumerate(merges))
+        if (model.get("type"), cut.get("type"), cut.get("use_regex", True), spec.get("normalizer")) \
+                != ("BPE", "ByteLevel", True, None) or cut.get("add_prefix_space") or ends \
+                or model.get("ignore_merges") or not in_order or len(vocab) - len(
+                    specials & set(vocab.values())) != 256 + len(merges):
+            return None
+        ranks = {b: i for i, b in enumerate(self.bytes) if b}
+        return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL, mergeable_ranks=ranks,
+                                 special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         # a space is put before the text; the other tokenizer adds its own
+        if self.ranks is not None:
+            return [self.ranks.encode_ordinary(" " + t) for t in texts]
         return [e.ids for e in self.library.encode_batch_fast(
             [" " + t for t in texts], add_special_tokens=False)]
 
@@ -86,47 +107,52 @@ class Pieces:
 
 
 class Side:
-    """One tokenizer with what the alignment reads of it: lengths and printed ids."""
+    """One tokenizer with its tokens' bytes and their lengths."""
 
     def __init__(self, tokenizer):
         self.encode, self.bytes = tokenizer.encode, tokenizer.bytes
         self.lengths = np.array(list(map(len, self.bytes)), np.int64)
-        # printed with what follows: a token of the group, its last token, the next group
-        self.printed = [f"{i}{end}" for end in ",|;" for i in range(len(self.bytes))]
+
+
+class Printer:
+    """Prints groups: every id with what may follow it, A's ids before B's."""
+
+    def __init__(self, side_a: Side, side_b: Side):
+        self.size = len(side_a.bytes), len(side_b.bytes)
+        # in a group, and as its last token
+        self.texts = [f"{i}{end}" for size, ends in zip(self.size, (",|", ",;"))
+                      for end in ends for i in range(size)]
+
+    def groups(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> str:
+        """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
+        n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        shown_a, shown_b = a.copy(), b + 2 * self.size[0]
+        shown_a[ends_a - 1] += self.size[0]
+        shown_b[ends_b - 1] += self.size[1]
+        shown = np.empty(len(a) + len(b), np.int64)
+        shown[np.arange(len(a)) + np.repeat(ends_b - n_b, n_a)] = shown_a
+        shown[np.arange(len(b)) + np.repeat(ends_a, n_b)] = shown_b
+        return "".join(map(self.texts.__getitem__, shown.tolist()))[:-1]
 
 
 @lru_cache(maxsize=2)
-def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
+def sides(path_a: str, path_b: str) -> tuple[Side, Side, Printer]:
     """One pair of tokenizers a worker process."""
     import os
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Side(ByteBpe(path_a)), Side(Pieces(path_b))
+    pair = Side(ByteBpe(path_a)), Side(Pieces(path_b))
+    return (*pair, Printer(*pair))
 
 
 def common_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of A and B tokens up to each byte end that both have; arguments: tokens' lengths."""
-    index_a = {end: i for i, end in enumerate(np.cumsum(a).tolist(), 1)}
-    index_b = {end: i for i, end in enumerate(np.cumsum(b).tolist(), 1)}
-    ends = sorted(index_a.keys() & index_b.keys())
+    index_a = dict(zip(np.cumsum(a).tolist(), range(1, len(a) + 1)))
+    index_b = dict(zip(np.cumsum(b).tolist(), range(1, len(b) + 1)))
+    ends = sorted(filter(index_b.__contains__, index_a))  # the keys of both
     return (np.fromiter(map(index_a.__getitem__, ends), np.int64, len(ends)),
             np.fromiter(map(index_b.__getitem__, ends), np.int64, len(ends)))
 
 
-def printed_groups(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray,
-                   side_a: Side, side_b: Side) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups' ids in order."""
-    n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
-    size_a, size_b = len(side_a.bytes), len(side_b.bytes)
-    shown_a, shown_b = a.copy(), b + 3 * size_a
-    shown_a[ends_a - 1] += size_a
-    shown_b[ends_b - 1] += 2 * size_b
-    shown = np.empty(len(a) + len(b), np.int64)
-    shown[np.arange(len(a)) + np.repeat(ends_b - n_b, n_a)] = shown_a
-    shown[np.arange(len(b)) + np.repeat(ends_a, n_b)] = shown_b
-    texts_a, texts_b, edge = side_a.printed, side_b.printed, 3 * size_a
-    return "".join([texts_a[i] if i < edge else texts_b[i - edge] for i in shown.tolist()])[:-1]
-
-
 def _weighted(group: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (group, id) and how often each occurs."""
     found, times = np.unique(group << SHIFT | ids, return_counts=True)
@@ -178,7 +204,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     twice.
     """
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        side_a, side_b = sides(path_a, path_b)
+        side_a, side_b, printer = sides(path_a, path_b)
         number = TaskContext.get().partitionId() << 40
         for batch in slices(batches, 128):
             raw = texts_of(batch)
@@ -197,7 +223,7 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 ends_a, ends_b = common_ends(side_a.lengths[a], side_b.lengths[b])
                 n_links = int(np.diff(ends_a, prepend=0) @ np.diff(ends_b, prepend=0))
                 head = (True, doc_id, len(a), len(b), len(ends_a), n_links,
-                        printed_groups(a, b, ends_a, ends_b, side_a, side_b))
+                        printer.groups(a, b, ends_a, ends_b))
                 for pairs, times in links(a, b, ends_a, ends_b):
                     for at in range(0, len(pairs), PIECE):
                         lines.append((number, *head, pairs[at:at + PIECE], times[at:at + PIECE]))
