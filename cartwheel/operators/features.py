@@ -3,7 +3,8 @@
 Statistics come from a narrow pair table (one row per customer and product), never from unpacked
 cells. What a row needs from other rows of its pair is read from the pair's own arrays, and what it
 needs from earlier products of its customer is carried over as at most three labels. No window or
-join therefore gathers all cells of one customer, product or zone.
+join therefore gathers all cells of one customer, product or zone. Statistics are joined to narrow
+pairs before these get their weeks, so arrays do not go through those joins.
 """
 
 from __future__ import annotations
@@ -73,22 +74,27 @@ def carried_labels(pairs: DataFrame) -> DataFrame:
             .select(*PAIR, _last("_labels", n).alias("carry")))
 
 
-def packed_features(packed: DataFrame, carried: DataFrame, by_customer: DataFrame,
-                    by_product: DataFrame) -> DataFrame:
-    """Training columns for every cell of a packed grid.
+def pair_attributes(pairs: DataFrame, by_customer: DataFrame, by_product: DataFrame) -> DataFrame:
+    """Carried labels and both statistics per pair: narrow rows without weeks.
 
     ``by_customer`` is matched inner and ``by_product`` left. Both are usually small enough for
-    Spark to broadcast them on their own size; when they are not, pairs (not cells) are shuffled
-    and the adaptive skew join splits a hot customer or product.
+    Spark to broadcast them on their own size; when they are not, the adaptive skew join splits a
+    hot customer or product.
     """
-    carried = carried.withColumnsRenamed({"customer_id": "_c", "product_id": "_p"})
-    pairs = (packed.select(*PAIR, "weeks", "bought")
-             .join(carried, (F.col("customer_id") == F.col("_c"))
-                   & F.col("product_id").eqNullSafe(F.col("_p"))).drop("_c", "_p")
-             .withColumn("product_id", F.coalesce("product_id", F.lit(0)))
-             .join(by_customer, "customer_id")
-             .join(by_product, "product_id", "left"))
-    rows = pairs.select("*", F.posexplode("weeks").alias("pos", "cell"))
+    known = carried_labels(pairs).join(by_customer, "customer_id")
+    stats = by_product.withColumnRenamed("product_id", "_p")
+    return known.join(stats, F.coalesce("product_id", F.lit(0)) == F.col("_p"), "left").drop("_p")
+
+
+def packed_features(packed: DataFrame, attributes: list[str]) -> DataFrame:
+    """Training columns for the cells of a packed table that holds ``pair_attributes`` (of which
+    ``attributes`` are passed on): all of them, or those at its ``positions``."""
+    pairs = packed.withColumn("product_id", F.coalesce("product_id", F.lit(0)))
+    if "positions" in packed.columns:
+        rows = (pairs.withColumn("pos", F.explode("positions"))
+                .withColumn("cell", F.get("weeks", F.col("pos"))))
+    else:
+        rows = pairs.select("*", F.posexplode("weeks").alias("pos", "cell"))
 
     def label_back(k):
         # k rows up: inside this product, or in the labels carried over from earlier products
@@ -101,9 +107,6 @@ def packed_features(packed: DataFrame, carried: DataFrame, by_customer: DataFram
         total = total + F.coalesce(label_back(k), F.lit(0))
         seen = seen + F.when(label_back(k).isNotNull(), 1).otherwise(0)
     last_week = F.get("weeks", F.col("pos") - 1)["week"]
-    figures = {"zone_X", "zone_Y", "zone_avg_purchase_freq", "zone_total_purchases",
-               "zone_customer_density", "customer_avg_purchase", "product_avg_purchase", *PAIR}
-    attributes = [c for c in [*by_customer.columns, *by_product.columns] if c not in figures]
     out = rows.select(
         "customer_id", F.col("cell.week").alias("week"), "product_id", *attributes,
         _label(F.col("cell")).alias("target"),
@@ -117,6 +120,15 @@ def packed_features(packed: DataFrame, carried: DataFrame, by_customer: DataFram
     return fill_nulls(out)
 
 
+FIGURES = {"zone_X", "zone_Y", "zone_avg_purchase_freq", "zone_total_purchases",
+           "zone_customer_density", "customer_avg_purchase", "product_avg_purchase", *PAIR}
+
+
+def passed_on(*stats: DataFrame) -> list[str]:
+    """Columns of the dimensions in statistics tables, in order."""
+    return [c for df in stats for c in df.columns if c not in FIGURES]
+
+
 def zone_features(pairs: DataFrame, cust: DataFrame) -> DataFrame:
     """Zone and its statistics per customer, from a pair table."""
     return customer_stats(pairs, cust.select("customer_id", "X", "Y")).select(

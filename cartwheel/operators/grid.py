@@ -4,15 +4,16 @@ The grid is kept *packed*: one row per (customer, product) with the weeks of tha
 at most one cell per calendar week, so a packed row is bounded, the join that makes the grid moves
 pairs instead of cells, and cells are only unpacked where they are used.
 
-Packed columns: customer_id, product_id, weeks array<struct<week, week_total>> in order,
+Packed columns: customer_id, product_id, weeks array<struct<week, week_total, ...>> in order,
 bought map<week, items> with the cells above 0, n_rows, n_pos, s_items. ``week_total`` is what the
-customer bought in that week over all products.
+customer bought in that week over all products; a grid's weeks also say what was known before.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from cartwheel.functions import hash_order
 from cartwheel.operators.sales import CELL
 
 # A customer owning more than 1/HEAVY_SHARE of all sold cells is expanded by broadcast. At most
@@ -31,37 +32,92 @@ def _join_weeks(pairs: DataFrame, weeks: DataFrame, sold: DataFrame,
             .unionByName(pairs.join(light, "customer_id")).drop("sold_cells"))
 
 
+def _pair_key() -> list:
+    """The pair as plain values (a missing product is 0 and marked), so that grouping by it and
+    joining on it need one and the same shuffle."""
+    return ["customer_id", F.coalesce("product_id", F.lit(0)).alias("_product"),
+            F.isnull("product_id").alias("_no_product")]
+
+
+def attach_to_pairs(pairs: DataFrame, attributes: DataFrame | None) -> DataFrame:
+    """Pairs grouped by ``_pair_key`` with the attributes of the same pair; pairs without any
+    leave. Only the attributes are shuffled."""
+    key = ["customer_id", "_product", "_no_product"]
+    if attributes is not None:
+        rest = [c for c in attributes.columns if c not in ("customer_id", "product_id")]
+        pairs = pairs.join(attributes.select(*_pair_key(), *rest), key)
+    product = F.when(~F.col("_no_product"), F.col("_product"))
+    return pairs.select("customer_id", product.alias("product_id"),
+                        *[c for c in pairs.columns if c not in key])
+
+
 def packed_grid(sold: DataFrame, cust: DataFrame | None = None,
-                heavy_share: int = HEAVY_SHARE) -> DataFrame:
+                heavy_share: int = HEAVY_SHARE, attributes: DataFrame | None = None) -> DataFrame:
     """Every product a customer ever bought, in every week the customer bought anything.
 
     Cells without sales count 0 items; cells whose sum is negative are left out, undated sales
-    have no week and no cell. With ``cust`` only customers present there stay.
+    have no week and no cell. With ``cust`` only customers present there stay. ``attributes`` (by
+    customer_id and product_id) are attached before the weeks are, while pairs are still narrow.
     """
     sold = sold.dropna(subset=["customer_id", "week"])
     positive = F.col("items") > 0
     cell = F.struct("week", "items")
-    pairs = sold.groupBy("customer_id", "product_id").agg(
+    pairs = attach_to_pairs(sold.groupBy(*_pair_key()).agg(
         F.map_from_entries(F.collect_list(F.when(positive, cell))).alias("bought"),
         F.collect_list(F.when(F.col("items") < 0, F.col("week"))).alias("_negative"),
         F.count(F.when(positive, 1)).alias("n_pos"),
-        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("s_items"))
-    weekly = sold.groupBy("customer_id", "week").agg(
-        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("week_total"),
-        F.count("*").alias("cells"))
-    weeks = weekly.groupBy("customer_id").agg(
-        F.sort_array(F.collect_list(F.struct("week", "week_total"))).alias("weeks"),
-        F.sum("cells").alias("sold_cells"))
+        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("s_items")),
+        attributes)
+    weeks = customer_weeks(sold)
     if cust is not None:
         weeks = weeks.join(cust.select("customer_id"), "customer_id", "left_semi")
     kept = F.filter("weeks", lambda w: ~F.array_contains("_negative", w["week"]))
     return (_join_weeks(pairs, weeks, sold, heavy_share)
             .withColumn("weeks", F.when(F.size("_negative") > 0, kept).otherwise(F.col("weeks")))
-            .select("customer_id", "product_id", "weeks", "bought",
-                    F.size("weeks").alias("n_rows"), "n_pos", "s_items"))
+            .withColumn("n_rows", F.size("weeks"))
+            .select("customer_id", "product_id", "weeks", "bought", "n_rows", "n_pos", "s_items",
+                    *[c for c in pairs.columns if attributes is not None and c in attributes.columns
+                      and c not in ("customer_id", "product_id")]))
+
 
+def customer_weeks(sold: DataFrame) -> DataFrame:
+    """customer_id, weeks, sold_cells: what each customer bought per week, in order of weeks.
 
-def pack(rows: DataFrame) -> DataFrame:
+    ``items_before`` and ``cells_before`` of a week are what was known before it: the items bought,
+    and the cells of the grid that these weeks and the products sold in them make. The window
+    runs over one row per week of a customer.
+    """
+    first = sold.groupBy(*_pair_key()).agg(F.min("week").alias("week"))
+    first = first.groupBy("customer_id", "week").agg(F.count("*").alias("new_products"))
+    weekly = sold.groupBy("customer_id", "week").agg(
+        F.coalesce(F.sum(F.when(F.col("items") > 0, F.col("items"))), F.lit(0.0))
+        .alias("week_total"), F.count("*").alias("cells"))
+    before = (Window.partitionBy("customer_id").orderBy("week")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    known = weekly.join(first, ["customer_id", "week"], "left").select(
+        "customer_id", "week", "week_total", "cells",
+        F.coalesce(F.sum("week_total").over(before), F.lit(0.0)).alias("items_before"),
+        (F.count("*").over(before) * F.coalesce(F.sum("new_products").over(before), F.lit(0)))
+        .alias("cells_before"))
+    return known.groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(F.struct("week", "week_total", "items_before", "cells_before")))
+        .alias("weeks"), F.sum("cells").alias("sold_cells"))
+
+
+def choose_cells(packed: DataFrame, cut: str | None, seed: int) -> DataFrame:
+    """A packed grid with ``positions``: the places in ``weeks`` of bought cells and of cells whose
+    hash is at most ``cut`` (all cells when it is None). Pairs without any leave."""
+    def chosen(i):
+        week = F.get("weeks", i)["week"]
+        if cut is None:
+            return F.lit(True)
+        return F.map_contains_key("bought", week) | (hash_order(
+            ["customer_id", "product_id", F.unix_date(week)], seed) <= cut)
+    places = F.when(F.size("weeks") > 0, F.sequence(F.lit(0), F.size("weeks") - 1))
+    return packed.withColumn("positions", F.filter(places, chosen)).filter(F.size("positions") > 0)
+
+
+def pack(rows: DataFrame, attributes: DataFrame | None = None) -> DataFrame:
     """Packed form of any set of labelled cells (for instance a balanced sample)."""
     if "total_weekly_purchase" not in rows.columns:
         totals = rows.groupBy("customer_id", "week").agg(
@@ -69,12 +125,12 @@ def pack(rows: DataFrame) -> DataFrame:
         rows = rows.join(totals, ["customer_id", "week"], "left")
     week = F.struct("week", F.col("total_weekly_purchase").alias("week_total"))
     positive = F.col("items") > 0
-    return rows.groupBy("customer_id", "product_id").agg(
+    return attach_to_pairs(rows.groupBy(*_pair_key()).agg(
         F.sort_array(F.collect_list(week)).alias("weeks"),
         F.map_from_entries(F.collect_list(F.when(positive, F.struct("week", "items"))))
         .alias("bought"),
         F.count("*").cast("int").alias("n_rows"),
-        F.count(F.when(positive, 1)).alias("n_pos"), F.sum("items").alias("s_items"))
+        F.count(F.when(positive, 1)).alias("n_pos"), F.sum("items").alias("s_items")), attributes)
 
 
 def unpack(packed: DataFrame) -> DataFrame:

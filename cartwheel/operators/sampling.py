@@ -40,25 +40,23 @@ def take_in_order(df: DataFrame, wanted: int, bucket: Column, order: list[Column
     return below.unionByName(edge).drop("_bucket")
 
 
-def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
-                    sizes: tuple[int, int] | None = None) -> DataFrame:
-    """All bought cells and equally many not-bought ones, drawn without replacement.
+def balanced_cut(grid: DataFrame, seed: int = 42, on_short: str = "raise",
+                 sizes: tuple[int, int] | None = None) -> tuple[DataFrame | None, str | None]:
+    """(bought cells and a few more candidates than needed as a written table, hash of the last
+    cell drawn); (None, None) when all cells, (None, "") when no unbought ones are drawn.
 
-    The draw takes the smallest md5 values of (cell key, seed). ``sizes`` = (bought, not bought)
-    saves a counting pass when the caller knows them. One pass over the grid keeps the bought
-    cells and slightly more candidates than needed, and writes them; the exact cut is then found
-    on that small table. A draw that came out short is repeated with twice the margin.
+    One pass over the grid. A draw that came out short is repeated with twice the margin.
     """
     if sizes is None:
         sizes = tuple(grid.agg(F.count(F.when(F.col("items") > 0, 1)),
                                F.count(F.when(F.col("items") == 0, 1))).first())
     wanted, available = sizes
     if wanted == 0:
-        return grid.filter(F.col("items") > 0)
+        return None, ""
     if available < wanted:
         if on_short == "raise":
             raise ValueError(f"{available} cells to sample from, {wanted} wanted")
-        return grid.filter(F.col("items") >= 0)
+        return None, None
     rows = (grid.filter(F.col("items") >= 0)
             .withColumn("_h", hash_order(["customer_id", "product_id", F.unix_date("week")], seed)))
     bought, unbought = F.col("items") > 0, F.col("items") == 0
@@ -70,10 +68,24 @@ def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
         cut = _cut_hash(near.filter(unbought).select("_h"), wanted,
                         max(0.0, (wanted - margin) / max(available, 1)))
         if cut is not None:
-            return near.filter(bought | (F.col("_h") <= cut)).drop("_h")
+            return near, cut
         margin *= 2
 
 
+def balanced_sample(grid: DataFrame, seed: int = 42, on_short: str = "raise",
+                    sizes: tuple[int, int] | None = None) -> DataFrame:
+    """All bought cells and equally many not-bought ones, drawn without replacement.
+
+    The draw takes the smallest md5 values of (cell key, seed). ``sizes`` = (bought, not bought)
+    saves a counting pass when the caller knows them. The exact cut is found on a small written
+    table of the bought cells and slightly more candidates than needed.
+    """
+    near, cut = balanced_cut(grid, seed, on_short, sizes)
+    if near is None:
+        return grid.filter(F.col("items") >= 0 if cut is None else F.col("items") > 0)
+    return near.filter((F.col("items") > 0) | (F.col("_h") <= cut)).drop("_h")
+
+
 def _cut_hash(rows: DataFrame, wanted: int, share: float) -> str | None:
     """The ``wanted``-th smallest ``_h``, if it lies above ``share`` of the hash range.
 

@@ -75,6 +75,40 @@ features AS (
          zone_X, zone_Y, zone_avg_purchase_freq, zone_total_purchases, zone_customer_density
   FROM wins JOIN zones USING (zone_X, zone_Y))"""
 
+_PAST = _BALANCED + """,
+dated AS (SELECT s.* FROM sold s WHERE customer_id IN (SELECT customer_id FROM cust)
+          AND week IS NOT NULL),
+place AS (SELECT customer_id, round_even(X * 1e1, 0) / 1e1 AS zone_X,
+                 round_even(Y * 1e1, 0) / 1e1 AS zone_Y FROM cust),
+fresh AS (SELECT customer_id, week, count(*) AS products FROM (
+            SELECT customer_id, product_id, min(week) AS week FROM dated GROUP BY 1, 2)
+          GROUP BY 1, 2),
+active AS (SELECT customer_id, week, sum(CASE WHEN items > 0 THEN items ELSE 0 END) AS items,
+                  count(*) FILTER (WHERE items > 0) AS bought,
+                  coalesce(max(products), 0) AS products
+           FROM dated LEFT JOIN fresh USING (customer_id, week) GROUP BY 1, 2),
+own AS (SELECT *, lag(week) OVER c AS last_week, lag(items) OVER c AS last_items,
+               row_number() OVER c AS n, sum(products) OVER c AS seen,
+               sum(items) OVER c - items AS items_before,
+               (row_number() OVER c - 1) * (sum(products) OVER c - products) AS cells_before
+        FROM active WINDOW c AS (PARTITION BY customer_id ORDER BY week)),
+goods AS (SELECT product_id, week, sum(sum(items)) OVER p AS items, sum(count(*)) OVER p AS cells
+          FROM dated WHERE items > 0 GROUP BY 1, 2
+          WINDOW p AS (PARTITION BY product_id ORDER BY week)),
+areas AS (SELECT zone_X, zone_Y, week, sum(sum(items)) OVER z AS items,
+                 sum(sum(bought)) OVER z AS bought,
+                 sum(sum(n * seen - cells_before)) OVER z AS cells,
+                 sum(count(*) FILTER (WHERE n = 1)) OVER z AS customers
+          FROM own JOIN place USING (customer_id) GROUP BY 1, 2, 3
+          WINDOW z AS (PARTITION BY zone_X, zone_Y ORDER BY week)),
+labels AS (SELECT c.customer_id, c.product_id, c.week, o.n,
+                  count(s.week) AS hits
+           FROM cells c JOIN own o ON o.customer_id = c.customer_id AND o.week = c.week
+           JOIN own e ON e.customer_id = c.customer_id AND e.n BETWEEN o.n - 4 AND o.n - 1
+           LEFT JOIN dated s ON s.customer_id = c.customer_id AND s.product_id = c.product_id
+             AND s.week = e.week AND s.items > 0
+           GROUP BY 1, 2, 3, 4)"""
+
 _RUNS = _JUDGED + """,
 runs AS (
   SELECT brand AS experiment, CAST(trial AS INT) AS trial,
@@ -466,6 +500,28 @@ FROM features""", _SCORED, _FEATURES).replace(f"tx AS ({TRANSACTIONS_SQL})", f""
   FROM ({CUSTOMERS_SQL}) c)""", 1),
     "training_set_v2": _sql("SELECT * FROM features", _BALANCED, _FEATURES),
     "scoring_set_v2": _sql("SELECT * FROM features", _SCORED, _FEATURES),
+    "training_set_unskewed": _sql("""
+SELECT * EXCLUDE (r) FROM (
+  SELECT *, row_number() OVER (PARTITION BY target ORDER BY md5(concat_ws('|', customer_id,
+    product_id, week - DATE '1970-01-01', '42')), customer_id, product_id, week) AS r FROM features)
+WHERE target = 1 OR r <= (SELECT count(*) FROM features WHERE target = 1)""", _SCORED, _FEATURES),
+    "features_point_in_time": _sql("""
+SELECT c.customer_id, c.week, c.product_id, d.* EXCLUDE (customer_id), p.* EXCLUDE (product_id),
+  c.target, coalesce(o.last_items, 0) AS total_weekly_purchase,
+  coalesce(o.items_before / nullif(o.cells_before, 0), 0) AS customer_avg_purchase,
+  coalesce(CAST(l.hits AS DOUBLE) / least(l.n - 1, 4), 0) AS recent_purchase_trend,
+  coalesce(g.items / g.cells, 0) AS product_avg_purchase, o.last_week AS last_purchase_week,
+  CAST(coalesce(c.week - o.last_week, -1) AS INT) AS days_since_last_purchase, z.zone_X, z.zone_Y,
+  coalesce(CAST(a.bought AS DOUBLE) / a.cells, 0) AS zone_avg_purchase_freq,
+  coalesce(a.items, 0) AS zone_total_purchases,
+  CAST(coalesce(a.customers, 0) AS BIGINT) AS zone_customer_density
+FROM cells c JOIN cust d USING (customer_id) JOIN place z USING (customer_id)
+JOIN own o ON o.customer_id = c.customer_id AND o.week = c.week
+LEFT JOIN prod p ON p.product_id = c.product_id
+LEFT JOIN labels l ON l.customer_id = c.customer_id AND l.product_id = c.product_id
+  AND l.week = c.week
+ASOF LEFT JOIN goods g ON g.product_id = c.product_id AND c.week > g.week
+ASOF LEFT JOIN areas a ON a.zone_X = z.zone_X AND a.zone_Y = z.zone_Y AND c.week > a.week""", _PAST),
     "training_set_v1": _sql("""
 SELECT c.customer_id, c.product_id, c.week, "Periodicity", num_orders, avg_items,
        d.* EXCLUDE (customer_id), p.* EXCLUDE (product_id),

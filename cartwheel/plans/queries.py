@@ -217,6 +217,14 @@ def scoring_v2(spark, folder):
     return training_set_v2(*_inputs(spark, folder), balance=False)
 
 
+def training_unskewed(spark, folder):
+    return training_set_v2(*_inputs(spark, folder), features_before_sampling=True)
+
+
+def features_point_in_time(spark, folder):
+    return training_set_v2(*_inputs(spark, folder), mode="point_in_time")
+
+
 def _feature(*names) -> Callable:
     def query(spark, folder):
         return training_v2(spark, folder).select(*CELL, *names)
@@ -528,6 +536,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 QUERIES.update({
     "training_set_v2": training_v2,
     "scoring_set_v2": scoring_v2,
+    "training_set_unskewed": training_unskewed,
+    "features_point_in_time": features_point_in_time,
     "training_set_v1": training_v1,
     "scoring_set_v1": scoring_v1,
     "total_weekly_purchase": _feature("total_weekly_purchase"),

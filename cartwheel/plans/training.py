@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from cartwheel.operators.features import (
-    carried_labels, customer_stats, packed_features, pair_summary, product_stats,
+    customer_stats, packed_features, pair_attributes, pair_summary, passed_on, product_stats,
 )
-from cartwheel.operators.grid import grid_sizes, pack, packed_grid, unpack
+from cartwheel.operators.grid import choose_cells, grid_sizes, pack, packed_grid, unpack
+from cartwheel.operators.point_in_time import point_in_time_features
 from cartwheel.operators.sales import fan_out, weekly_sales
-from cartwheel.operators.sampling import balanced_sample
+from cartwheel.operators.sampling import balanced_cut, balanced_sample
 from cartwheel.session import stage
 
 
@@ -27,8 +28,18 @@ def balanced_cells(sold: DataFrame, cust: DataFrame, seed: int = 42,
                            (sizes.bought, sizes.unbought))
 
 
-def features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
-    """Feature columns for every cell of a packed grid.
+def chosen_grid(sold: DataFrame, cust: DataFrame, seed: int = 42, on_short: str = "raise",
+                attributes: DataFrame | None = None) -> DataFrame:
+    """The whole grid, packed, with the positions of the cells that ``balanced_cells`` draws."""
+    sizes = grid_sizes(sold, cust).first()
+    _, cut = balanced_cut(unpack(packed_grid(sold, cust)), seed, on_short,
+                          (sizes.bought, sizes.unbought))
+    return choose_cells(packed_grid(sold, cust, attributes=attributes), cut, seed)
+
+
+def _statistics(packed: DataFrame, cust: DataFrame,
+                prod: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(attributes per pair, those of the dimensions).
 
     The pair table and both statistics tables are written first. They are small next to the grid,
     and as files they have a size the planner knows when it chooses between broadcast and shuffle.
@@ -36,22 +47,50 @@ def features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
     pairs = stage(pair_summary(packed), "pairs")
     by_customer = stage(customer_stats(pairs, cust), "customers")
     by_product = stage(product_stats(pairs, prod), "products")
-    return packed_features(packed, carried_labels(pairs), by_customer, by_product)
+    return pair_attributes(pairs, by_customer, by_product), passed_on(by_customer, by_product)
+
+
+def features(packed: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
+    """Feature columns for every cell of any packed table."""
+    pairs, names = _statistics(packed, cust, prod)
+    pairs = pairs.withColumnsRenamed({"customer_id": "_c", "product_id": "_p"})
+    return packed_features(packed.join(
+        pairs, (F.col("customer_id") == F.col("_c")) & F.col("product_id").eqNullSafe(F.col("_p"))),
+        names)
+
+
+def grid_features(sold: DataFrame, cust: DataFrame, prod: DataFrame, seed: int = 42,
+                  chosen: bool = False, on_short: str = "raise") -> DataFrame:
+    """Features over the whole grid, of all its cells or of a balanced sample of them."""
+    pairs, names = _statistics(packed_grid(sold, cust), cust, prod)
+    if chosen:
+        return packed_features(chosen_grid(sold, cust, seed, on_short, pairs), names)
+    return packed_features(packed_grid(sold, cust, attributes=pairs), names)
 
 
 def purchase_features(rows: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
     """The same for a table of labelled cells (customer_id, product_id, week, items)."""
-    return features(pack(rows), cust, prod)
+    pairs, names = _statistics(pack(rows), cust, prod)
+    return packed_features(pack(rows, pairs), names)
 
 
 def training_set_v2(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int = 42,
-                    balance: bool = True, on_short: str = "raise") -> DataFrame:
+                    balance: bool = True, on_short: str = "raise", mode: str = "reference",
+                    features_before_sampling: bool = False) -> DataFrame:
     """Labelled cells with purchase, recency and zone features.
 
-    ``balance=True``: features over all bought and equally many not-bought cells (training).
+    ``balance=True``: features over all bought and equally many not-bought cells (training), or
+    with ``features_before_sampling`` over the whole grid, as scoring has them, for these cells.
     ``balance=False``: features over the whole grid (scoring); its cells are never shuffled.
+    ``mode="point_in_time"``: every figure from weeks before the cell's own
+    (operators/point_in_time.py); these do not depend on sampling.
     """
     sold = staged_sales(tx, cust, prod)
-    if not balance:
-        return features(packed_grid(sold, cust), cust, prod)
+    if mode == "point_in_time":
+        packed = chosen_grid(sold, cust, seed, on_short) if balance else packed_grid(sold, cust)
+        return point_in_time_features(packed, sold, cust, prod)
+    if mode != "reference":
+        raise ValueError(f"unknown mode {mode!r}")
+    if not balance or features_before_sampling:
+        return grid_features(sold, cust, prod, seed, balance, on_short)
     return purchase_features(balanced_cells(sold, cust, seed, on_short), cust, prod)
