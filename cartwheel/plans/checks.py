@@ -498,6 +498,16 @@ FROM features""", _SCORED, _FEATURES).replace(f"tx AS ({TRANSACTIONS_SQL})", f""
   SELECT * REPLACE (CASE WHEN customer_id % 5 = 0 THEN 0e0 ELSE X END AS X,
                     CASE WHEN customer_id % 11 = 0 THEN 0e0 ELSE Y END AS Y)
   FROM ({CUSTOMERS_SQL}) c)""", 1),
+    "weekly_sales_incremental": _sql("SELECT * FROM sold"),
+    "archive_same_range": _sql("SELECT DISTINCT * FROM tx"),
+    "csv_missing_texts": _sql("""
+SELECT customer_id, CASE WHEN customer_id % 13 <> 0 THEN region_id END AS region_id,
+  CASE WHEN customer_id % 11 <> 0 THEN zone_id END AS zone_id,
+  CASE WHEN customer_id % 7 <> 0 THEN customer_type END AS customer_type,
+  CASE WHEN customer_id % 5 <> 0 THEN Y END AS Y, CASE WHEN customer_id % 3 <> 0 THEN X END AS X,
+  CASE WHEN customer_id % 17 <> 0 THEN num_deliver_per_week END AS num_deliver_per_week,
+  CASE WHEN customer_id % 19 <> 0 THEN num_visit_per_week END AS num_visit_per_week,
+  CASE WHEN customer_id % 13 = 0 THEN 'region_id' ELSE '' END AS rejected FROM cust"""),
     "training_set_v2": _sql("SELECT * FROM features", _BALANCED, _FEATURES),
     "scoring_set_v2": _sql("SELECT * FROM features", _SCORED, _FEATURES),
     "training_set_unskewed": _sql("""

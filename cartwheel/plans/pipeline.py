@@ -11,12 +11,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartwheel.operators.drift import drift_decision, mmd_drift
 from cartwheel.operators.metrics import RETRAIN, degradation_decision, f1_expr
 from cartwheel.operators.tables import latest_week_split
-from cartwheel.plans.train import (
-    EXPERIMENT, N_TRIALS, SEED, load_model, optimize, save_model, score_positive,
-)
+from cartwheel.plans.train import EXPERIMENT, N_TRIALS, SEED, optimize, score_positive
 from cartwheel.plans.training import training_set_v2
 from cartwheel.schemas import TRAINING_V2
 from cartwheel.sources.files import SKIP
+from cartwheel.sources.model_store import ModelStore
 from cartwheel.sources.registry import best_run, search_runs
 from cartwheel.sources.tables import (
     read_customers, read_products, read_transactions, write_features,
@@ -84,8 +83,8 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     """
     before = _state(spark, cfg)
     _mark(spark, cfg, PENDING)
-    if not ingest_distinct(spark, cfg.new_dir, cfg.history_dir, cfg.path("ingest")) \
-            and before == DONE:
+    if not ingest_distinct(spark, cfg.new_dir, cfg.history_dir, cfg.path("ingest"),
+                           cells=cfg.path("cells")) and before == DONE:
         _mark(spark, cfg, DONE)
         return {"decision": SKIP}
     tx = read_transactions(spark, cfg.history_dir)
@@ -93,9 +92,10 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
 
     write_features(training_set_v2(tx, cust, prod, cfg.seed), cfg.path("training"))
     table = spark.read.schema(TRAINING_V2).parquet(cfg.path("training"))
-    out = {"training": cfg.path("training"), "model": cfg.path("model")}
+    models = ModelStore(spark, cfg.path("models"))
+    out = {"training": cfg.path("training"), "models": cfg.path("models")}
     try:
-        model = load_model(cfg.path("model"))
+        model = models.load_newest(EXPERIMENT)
         step = drift_step(model, table) if cfg.check == "drift" else degradation_step(
             model, table, search_runs(spark, cfg.path("runs")))
         decision = step.first().decision
@@ -103,8 +103,7 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
         model, decision, out["reason"] = None, RETRAIN, f"{type(reason).__name__}"
     if decision == RETRAIN:
         model, report, _ = optimize(table, cfg.space, cfg.n_trials, cfg.seed,
-                                    registry=cfg.path("runs"))
-        save_model(model, cfg.path("model"))
+                                    registry=cfg.path("runs"), store=cfg.path("models"))
         write_features(report, cfg.path("report"))
         out["report"] = cfg.path("report")
 

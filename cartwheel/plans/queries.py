@@ -105,6 +105,49 @@ def ingest_incremental(spark, folder):
     return read_transactions(spark, history, tx.schema)
 
 
+def weekly_sales_incremental(spark, folder):
+    """Three batches that overlap by a year each, the last with late rows, taken in one by one; the
+    cells are kept up to date week by week."""
+    from cartwheel.streaming.ingest import ingest_distinct
+    from cartwheel.streaming.weekly_cells import read_cells
+    tx, day = star.transactions(spark, folder), F.year("purchase_date")
+    history, state, cells = (scratch_path(spark, n) for n in ("history", "ingest", "cells"))
+    drop = scratch_path(spark, "drop")
+    late = F.col("order_id") % 50 == 0
+    for part in ((day <= 1995) & ~late, day.between(1995, 1997), (day >= 1997) | late):
+        tx.filter(part).write.mode("append").parquet(drop)
+        ingest_distinct(spark, drop, history, state, tx.schema, cells=cells)
+    return read_cells(spark, cells)
+
+
+def archive_same_range(spark, folder):
+    """Two batches with the same first and last date, both kept."""
+    from cartwheel.sources.tables import archive_batch, read_transactions
+    tx, root = star.transactions(spark, folder), scratch_path(spark, "archive")
+    span = tx.agg(F.min("purchase_date").alias("a"), F.max("purchase_date").alias("b"))
+    edge = tx.join(F.broadcast(span), F.col("purchase_date").isin(F.col("a"), F.col("b")),
+                   "left_semi")
+    for k in (0, 1):
+        part = tx.filter(F.col("order_id") % 2 == k).unionByName(edge).distinct()
+        archive_batch(part, root)
+    return read_transactions(spark, root, tx.schema).distinct()
+
+
+def csv_missing_texts(spark, folder):
+    """Customers written with texts that mean a missing value, and some that are no number."""
+    from cartwheel.sources.tables import read_csv_checked
+    key, c = F.col("customer_id"), star.customers(spark, folder)
+    path = scratch_path(spark, "customers-gaps")
+    texts = c.select("customer_id", *[F.when(key % n == 0, F.lit(t)).otherwise(
+        F.col(x).cast("string")).alias(x) for x, n, t in (
+            ("region_id", 13, "north"), ("zone_id", 11, ""), ("customer_type", 7, "nan"),
+            ("Y", 5, "NA"), ("X", 3, "NaN"), ("num_deliver_per_week", 17, "null"),
+            ("num_visit_per_week", 19, "n/a"))])
+    write_features(texts, path, "csv")
+    return read_csv_checked(spark, path, CUSTOMERS).select(
+        *CUSTOMERS.names, F.concat_ws(",", "_rejected").alias("rejected"))
+
+
 # --- projections, joins and aggregates --------------------------------------------------------
 
 def dedupe_transactions(spark, folder):
@@ -406,8 +449,8 @@ def weekly_window_events(spark, folder):
 
 # --- preprocessing, model and drift ------------------------------------------------------------
 
-# All dimensions of the search space over all rows; only the trees are fewer and smaller.
-_QUICK = {**train.SPACE_V2, "n_estimators": (3, 5), "max_depth": (3, 4)}
+#: Labelled rows that trees are fitted on here; statistics, weights and scores use all rows.
+FIT_ROWS = 10_000
 
 
 def _gappy(spark, folder) -> DataFrame:
@@ -482,27 +525,27 @@ def _split_table(spark, folder) -> DataFrame:
     return stage(splits.temporal_split(training_v2(spark, folder)), "split")
 
 
-def _quick_model(table, trees=5):
+def _default_model(table):
     part = table.filter(F.col("split") == "train").drop("split")
-    return train.fit_model(part, {"n_estimators": trees, "max_depth": 4, "learning_rate": 0.3})
+    return train.fit_model(part, {}, fit_rows=FIT_ROWS)
 
 
 def train_and_score(spark, folder):
     table = _split_table(spark, folder)
-    model = _quick_model(table)
+    model = _default_model(table)
     return train.score_positive(model, table.filter(F.col("split") == "test")).select(
         *CELL, "target", "split")
 
 
 def feature_importance(spark, folder):
     table = _split_table(spark, folder)
-    return train.feature_importance(_quick_model(table), table)
+    return train.feature_importance(_default_model(table), table)
 
 
 def hyperparameter_search(spark, folder):
     table = _split_table(spark, folder)
     parts = [table.filter(F.col("split") == s).drop("split") for s in ("train", "val")]
-    return train.search(*parts, space=_QUICK, n_trials=train.N_TRIALS)[1]
+    return train.search(*parts, fit_rows=FIT_ROWS, side_by_side=train.N_TRIALS)[1].drop("run_id")
 
 
 def _newest_drift(spark, folder) -> DataFrame:
@@ -521,7 +564,9 @@ def drift_decision(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         scan_transactions, scan_dimensions, csv_roundtrip, archive_range, detect_new_files,
-        detect_new_count, ingest_merge, ingest_incremental, features_with_gaps, dedupe_transactions, enrich_transactions, weekly_sales,
+        detect_new_count, ingest_merge, ingest_incremental, weekly_sales_incremental,
+        archive_same_range, csv_missing_texts, features_with_gaps, dedupe_transactions,
+        enrich_transactions, weekly_sales,
         grid_per_customer, grid_labeled, label_target, split_pos_neg, fill_nulls, top_products,
         rec_history, avg_items, num_orders, periodicity, periodicity_timestamp,
         calendar_features, zone_round, balanced_sample, temporal_split, random_split,

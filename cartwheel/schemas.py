@@ -40,6 +40,14 @@ RUNS = _fields(
     "params map<string,string>, ts timestamp"
 )
 
+COMMITS = _fields(
+    "version long, experiment string, run_id string, valid_f1 double, folder string, ts timestamp"
+)
+
+CELLS = _fields("customer_id long, product_id long, items double, week date")
+
+CELL_LOG = _fields("batch string, step string")
+
 TRAINING_V2 = _fields(
     "customer_id long, week date, product_id long, region_id int, zone_id int, "
     "customer_type string, Y double, X double, num_deliver_per_week int, "

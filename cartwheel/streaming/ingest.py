@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cartwheel.schemas import TRANSACTIONS
+from cartwheel.streaming.weekly_cells import apply_sales
 
 
 def transaction_stream(spark: SparkSession, folder: str, schema: T.StructType = TRANSACTIONS,
@@ -22,13 +23,23 @@ def transaction_stream(spark: SparkSession, folder: str, schema: T.StructType =
 def ingest_files(spark: SparkSession, folder: str, history: str, checkpoint: str,
                  schema: T.StructType = TRANSACTIONS, max_files: int | None = None) -> int:
     """Append every file not yet seen to ``history``, each exactly once, then stop. Returns the
-    number of rows read. The checkpoint remembers processed files."""
+    number of rows read. The checkpoint remembers processed files.
+
+    The layout is that of ``ingest_distinct`` (a partition per micro-batch, replaced only when the
+    batch is tried again), so both may write to one history and any reader sees all of it.
+    """
+    read: dict[int, int] = {}
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        own = f"{history.rstrip('/')}/batch={_run_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        batch.write.mode("overwrite").parquet(own)
+        read[batch_id] = batch.sparkSession.read.schema(schema).parquet(own).count()
+
     query = (transaction_stream(spark, folder, schema, max_files).writeStream
-             .format("parquet").option("path", history)
-             .option("checkpointLocation", checkpoint)
+             .foreachBatch(append).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
+    return sum(read.values())
 
 
 def dedupe_stream(stream: DataFrame, ts: str, keys: list[str] | None = None,
@@ -60,9 +71,10 @@ def _stored(spark: SparkSession, history: str, schema: T.StructType, but: str) -
 
 def ingest_distinct(spark: SparkSession, folder: str, history: str, checkpoint: str,
                     schema: T.StructType = TRANSACTIONS, max_files: int | None = None,
-                    date: str = "purchase_date") -> int:
+                    date: str = "purchase_date", cells: str | None = None) -> int:
     """Append new files' rows that the history does not hold yet, each distinct row once. Returns
-    the number of rows read; 0 means there was no new file.
+    the number of rows read; 0 means there was no new file. With ``cells`` the weekly cells kept
+    there (weekly_cells.py) take in the appended rows in the same batch.
 
     Every micro-batch goes to a partition of its own, named by the checkpoint's id and the batch's
     number and overwritten only when that batch is tried again. It is compared with all other
@@ -90,6 +102,9 @@ def ingest_distinct(spark: SparkSession, folder: str, history: str, checkpoint:
             same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
             fresh = fresh.join(old, same, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{history.rstrip('/')}/{own}")
+        if cells is not None:
+            apply_sales(session, cells, own.removeprefix("batch="),
+                        session.read.schema(schema).parquet(f"{history.rstrip('/')}/{own}"))
 
     query = (transaction_stream(spark, folder, schema, max_files).writeStream
              .foreachBatch(append).option("checkpointLocation", checkpoint)
