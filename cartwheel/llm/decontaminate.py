@@ -1,20 +1,21 @@
 """Benchmark decontamination by SimHash windows, multi-index Hamming search and exact similarity.
 
 1. Texts become words: A-Z in lower case, ASCII punctuation read as blanks.
-2. Every item and every window of an item's size in a document gets a 64-bit SimHash of its words,
-   each weighing by its length. Windows come in size classes 12 % apart and start an eighth of
-   their size apart; window sums are differences of running sums.
-3. Fingerprints are cut into four blocks of 16 bits. If two differ in at most RADIUS = 15 bits,
-   some block differs in at most three; a table per block and class lists all such block values, so
-   every item within the radius is found.
-4. No hit rests on the windows alone: a hit holds three quarters of an item's weight, so it holds one
-   of the item's heaviest shingles that weigh more than a quarter together. An index of these names
-   every item that a text may hold.
+2. A hit starts and ends with shingles of its item, so only places of a document whose 5-word
+   shingle some item has can begin one. Documents without such a place are done.
+3. From each such place windows of 0.75 to 1.33 of the items' sizes (12 % apart) get a 64-bit SimHash
+   of their words, each weighing by its length; window sums are differences of running sums. Every
+   item has the SimHash of all its words.
+4. Fingerprints are cut into four blocks of 16 bits. If two differ in at most RADIUS bits, some
+   block differs in at most RADIUS / 4; a table per block and class of item sizes lists all
+   such block values, so every item within the radius of a window is found.
 5. For each such item the best stretch is searched by the exact weighted Jaccard similarity of
    5-word shingles; a shingle that occurs in k distinct item texts of the whole
    benchmark weighs 1/k, one that is not in the item the item's mean. From 0.75 on it is
    a hit. Items of fewer than five words have one shingle, of all their words.
 
+The radius comes from measured recall (README): edits and cuts down to 0.75 turn few bits.
+
 Items come in blocks of bounded size, each sent to all tasks in one pass over the documents; whole
 texts are read, and documents are not shuffled.
 
@@ -39,9 +40,11 @@ from cartwheel.llm.common import WordHash, record, slices, stage, texts_of, wind
 
 WIDTH = 5
 SIMILARITY = 0.75
-RADIUS = 15
+RADIUS = 20
 BLOCKS, BLOCK_BITS = 4, 16
 CLASS_STEP = 1.12
+#: Sizes of a window that may hold an item, as shares of the item's.
+LEAST, MOST = 0.72, 1.4
 STRETCH = 8192
 #: Items of one pass: at most so many, and so many bytes of text.
 PASS_ITEMS = 4096
@@ -76,8 +79,12 @@ def fingerprints(sums: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nd
     return np.packbits(sums[last] - sums[first] > 0, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def size_step(n: float) -> int:
+    return round(np.log(n) / np.log(CLASS_STEP))
+
+
 def size_class(n: int) -> int:
-    return max(1, round(CLASS_STEP ** round(np.log(n) / np.log(CLASS_STEP))))
+    return max(1, round(CLASS_STEP ** size_step(n)))
 
 
 @dataclass
@@ -131,43 +138,32 @@ class Screen:
         self.known = {w: np.unique(np.array([x for i in self.items if i.width == w
                                              for x in i.weights], np.uint64))
                       for w in {i.width for i in self.items}}
-        # the items that a shingle is a heaviest one of: a hit holds one of each item's
-        self.anchors: dict[int, dict[int, list]] = {w: {} for w in self.known}
-        for i, item in enumerate(self.items):
-            left = 0.25 * item.total + 1e-9
-            for x in sorted(item.weights, key=lambda x: (-item.weights[x], x)):
-                self.anchors[item.width].setdefault(x, []).append(i)
-                left -= item.weights[x]
-                if left < 0:
-                    break
-        self.anchored = {w: np.sort(np.fromiter(found, np.uint64, len(found)))
-                         for w, found in self.anchors.items()}
-
-    def candidates(self, sums: np.ndarray, begin: np.ndarray, n: np.ndarray) -> set:
-        """(stretch, item, window start) of all windows within the radius."""
+        sizes = np.arange(size_step(LEAST * min(members)), size_step(MOST * max(members)) + 1) \
+            if members else []
+        self.windows = sorted({max(1, round(CLASS_STEP ** int(k))) for k in sizes})
+
+    def candidates(self, sums: np.ndarray, begin: np.ndarray, end: np.ndarray,
+                   owner: np.ndarray) -> set:
+        """(owner, item) for all windows from the places ``begin`` that are within the radius of an
+        item of their size; a window ends at ``end`` at the latest."""
         found = set()
-        for size, (own, near) in self.classes.items():
-            step = max(1, size // 8)
-            count = np.where(n >= size, (n - size) // step + 1, (n >= 0.7 * size).astype(np.int64))
-            tail = (n > size) & ((n - size) % step != 0)
-            which = np.repeat(np.arange(len(n)), count + tail)
-            if not len(which):
-                continue
-            order = np.arange(len(which)) - np.repeat(np.cumsum(count + tail) - count - tail,
-                                                      count + tail)
-            start = np.minimum(order * step, np.maximum(n[which] - size, 0))
-            first = begin[which] + start
-            prints = fingerprints(sums, first, first + np.minimum(size, n[which]))
-            hit = np.zeros(len(prints), bool)
-            for b in range(BLOCKS):
-                part = (prints >> np.uint64(b * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1)
-                hit |= near[b][part.astype(np.int64)]
-            at = np.flatnonzero(hit)
-            for rows in np.array_split(at, max(1, len(at) * len(own) >> 20)):
-                apart = np.bitwise_count(prints[rows, None] ^ self.prints[own][None, :])
-                r, k = np.nonzero(apart <= RADIUS)
-                found.update(zip(which[rows[r]].tolist(), own[k].tolist(),
-                                 start[rows[r]].tolist()))
+        for size in self.windows:
+            fits = np.flatnonzero(end - begin >= LEAST * size)
+            first = begin[fits]
+            prints = fingerprints(sums, first, np.minimum(first + size, end[fits]))
+            blocks = [((prints >> np.uint64(b * BLOCK_BITS)) & np.uint64((1 << BLOCK_BITS) - 1))
+                      .astype(np.int64) for b in range(BLOCKS)]
+            for item_size, (own, near) in self.classes.items():
+                if not LEAST * item_size <= size <= MOST * item_size:
+                    continue
+                hit = near[0][blocks[0]]
+                for b in range(1, BLOCKS):
+                    hit |= near[b][blocks[b]]
+                at = np.flatnonzero(hit)
+                for rows in np.array_split(at, max(1, len(at) * len(own) >> 20)):
+                    apart = np.bitwise_count(prints[rows, None] ^ self.prints[own][None, :])
+                    r, k = np.nonzero(apart <= RADIUS)
+                    found.update(zip(owner[fits[rows[r]]].tolist(), own[k].tolist()))
         return found
 
     def best(self, item: Item, at: np.ndarray, shingles: np.ndarray) -> tuple[float, int, int]:
@@ -236,9 +232,7 @@ class Screen:
         begin = np.cumsum(n) - n
         flat = [w for p in pieces for w in p]
         h = hashed.of(flat)
-        sums = running_sums(h, np.fromiter(map(len, flat), np.int64, len(flat)),
-                            2 * max(i.n for i in self.items))
-        traces, pairs = {}, set()  # per width: places whose shingle some item has, and these
+        traces = {}  # per width: places whose shingle some item has, and these
         owners = np.repeat(np.arange(len(n)), n)
         for width, known in self.known.items():
             s = window_hashes(h, width)
@@ -247,12 +241,20 @@ class Screen:
             place = np.flatnonzero(known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s)
             # not across the end of a stretch
             place = place[place + width <= (begin + n)[owners[place]]]
-            traces[width] = place, s[place]
-            some = self.anchored[width]
-            is_one = some[np.minimum(np.searchsorted(some, s[place]), len(some) - 1)] == s[place]
-            for k, x in set(zip(owners[place[is_one]].tolist(), s[place[is_one]].tolist())):
-                pairs.update((k, i) for i in self.anchors[width][x])
-        pairs.update((k, i) for k, i, _ in self.candidates(sums, begin, n))
+            if len(place):
+                traces[width] = place, s[place]
+        if not traces:
+            return
+        starts = np.unique(np.concatenate([place for place, _ in traces.values()]))
+        # running sums of the stretches with such places only, moved together
+        some = np.zeros(len(n), bool)
+        some[owners[starts]] = True
+        moved = np.cumsum(np.where(some, 0, n)) - np.where(some, 0, n)
+        kept = np.flatnonzero(some[owners])
+        sums = running_sums(h[kept], np.fromiter((len(flat[w]) for w in kept.tolist()), np.int64,
+                                                 len(kept)), 2 * max(i.n for i in self.items))
+        own = owners[starts]
+        pairs = self.candidates(sums, starts - moved[own], (begin + n - moved)[own], own)
         for k, i in sorted(pairs):
             item = self.items[i]
             if item.width not in traces:

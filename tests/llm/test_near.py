@@ -267,3 +267,14 @@ def test_pipeline_stages(spark, docs, tmp_path):
         now = out
     last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
     assert {r.text for r in last.collect()} == {r.text or "" for r in docs.collect()}
+
+
+def test_hits_come_from_windows(monkeypatch):
+    """Without the windows' candidates nothing is found, and places of other items cost nothing."""
+    items = [(0, " ".join(f"a{k}" for k in range(40))), (1, " ".join(f"b{k}" for k in range(70)))]
+    text = ("x y z " + items[0][1] + " " + " ".join(items[1][1].split()[:56]) + " end").encode()
+    screen = decontaminate.Screen(items)
+    assert [h["item_id"] for h in screen.hits([text], decontaminate.WordHash())[0]] == [0, 1]
+    assert screen.hits([b"a0 a1 a2 a3 c", b""], decontaminate.WordHash()) == [[], []]
+    monkeypatch.setattr(decontaminate.Screen, "candidates", lambda *_: set())
+    assert screen.hits([text], decontaminate.WordHash()) == [[]]
