@@ -33,6 +33,19 @@ def words_of(text: bytes) -> list[bytes]:
     return text.split()
 
 
+def give_back() -> None:
+    """Returns free memory to the system: a worker process outlives its task, and what it keeps
+    counts against its executor while others' tasks run there."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 class WordHash(dict):
     """64-bit hashes of words, remembered up to a bound so that a task's memory stays bounded."""
 

@@ -36,7 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartwheel.llm.common import WordHash, record, slices, stage, texts_of, window_hashes
+from cartwheel.llm.common import WordHash, give_back, record, slices, stage, texts_of, window_hashes
 
 WIDTH = 5
 SIMILARITY = 0.75
@@ -318,6 +318,8 @@ def _searcher(screen):
         for texts in batches:
             yield pd.Series(screen.value.hits(
                 [t.encode() if t is not None else b"" for t in texts], hashed), dtype=object)
+        hashed.clear()
+        give_back()
 
     return search
 

@@ -15,8 +15,7 @@ with both is a lattice, and the encoding is its shortest path in the tropical se
 Texts are cut where no piece can reach across (before a space mark after another character, and
 around characters in no longer piece); the path is searched once for each distinct cut.
 
-Cases: null and empty texts have no pieces; other columns are passed on unless they carry a
-result's name; repeated rows stay; an empty table gives an empty result. Like the library, decoding
+Cases: null and empty texts have no pieces; other columns are not read; repeated rows stay; an empty table gives an empty result. Like the library, decoding
 turns a space mark in the text into a space, and a literal mark is not told from a space.
 """
 
@@ -33,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from cartwheel.llm.common import slices, texts_of
+from cartwheel.llm.common import give_back, slices, texts_of
 
 # Fixed values of the model file format.
 MARK = "▁"
@@ -41,7 +40,7 @@ UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
 #: Distinct cuts whose paths a worker remembers.
-REMEMBERED = 350_000
+REMEMBERED = 200_000
 PAIRS = 300_000
 
 
@@ -254,6 +253,7 @@ class PieceMachine:
         self.paths.clear()
         self.paths.older = {}
         self.pairs.clear()
+        give_back()
 
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
