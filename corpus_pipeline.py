@@ -17,24 +17,38 @@ from cartwheel.llm.quality import keep_good
 
 MODEL = "piece_bpe_32k.model"
 
+#: Rows that are handed to a Python worker at a time: whole texts, so few enough to stay small.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds what a task's JVM and Python side hold of texts on their way; results don't change."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the fixed rules and the fences of their language and source."""
+    small_batches(spark)
     return keep_good(docs)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the least doc_id."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
+    small_batches(spark)
     return keep_clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, pieces, and the text decoded from them with its length."""
+    small_batches(spark)
     back = round_trip(docs, public_tokenizers.path(MODEL))
     return back.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces",
                        "n_chars", "text")
