@@ -9,6 +9,8 @@ of the same pass.
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +38,27 @@ def _uniform(keys: np.ndarray, salt: np.ndarray) -> np.ndarray:
     return (z >> np.uint64(11)).astype(np.float64) / float(1 << 53)
 
 
+def _drawn(seed: int, name: str, *at: int) -> float:
+    """A number in (0, 1) from md5, so that any engine can recompute the features."""
+    text = "|".join(map(str, (seed, name, *at)))
+    return (int(hashlib.md5(text.encode()).hexdigest()[:12], 16) + 0.5) / 16 ** 12
+
+
+def fourier_constants(width: int, n_features: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Standard normal directions (width x n_features; Box and Muller) and phases."""
+    w = np.array([[math.sqrt(-2.0 * math.log(_drawn(seed, "r", i, j)))
+                   * math.cos(2.0 * math.pi * _drawn(seed, "a", i, j)) for j in range(n_features)]
+                  for i in range(width)])
+    return w, 2.0 * np.pi * np.array([_drawn(seed, "b", j) for j in range(n_features)])
+
+
 def _partial_sums(width: int, sigma: float, share: float, n_perm: int, n_features: int, seed: int):
     """Batch function: sums of the features of label-1 rows for the true labels (perm 0) and each
     relabelling (1..n_perm), and over all rows (perm -1), one small set per partition."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rng = np.random.default_rng(seed)
-        w = rng.standard_normal((width, n_features)) / sigma
-        b = rng.uniform(0.0, 2.0 * np.pi, n_features)
+        w, b = fourier_constants(width, n_features, seed)
+        w = w / sigma
         salt = rng.integers(1, 2 ** 63, n_perm, dtype=np.uint64)
         sums = np.zeros((n_perm + 2, n_features + 2))
         for pdf in batches:

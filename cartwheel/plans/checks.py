@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cartwheel.operators.cross import PERMUTATION_PASSES
+from cartwheel.schemas import NUMERIC_V2
 from cartwheel.sources.star import CUSTOMERS_SQL, PRODUCTS_SQL, TRANSACTIONS_SQL
 
 _INPUTS = f"""
@@ -109,6 +110,35 @@ labels AS (SELECT c.customer_id, c.product_id, c.week, o.n,
              AND s.week = e.week AND s.items > 0
            GROUP BY 1, 2, 3, 4)"""
 
+_DRIFT = """,
+sides AS (
+  SELECT week = (SELECT max(week) FROM features) AS is_new,
+    [CAST(""" + " AS DOUBLE), CAST(".join(NUMERIC_V2) + """ AS DOUBLE)] AS v
+  FROM features),
+spread AS (
+  SELECT i, avg(v[i + 1]) AS m, sqrt(var_samp(v[i + 1])) AS d
+  FROM sides, range(10) t(i) GROUP BY i),
+scales AS (SELECT list(m ORDER BY i) AS m, list(d ORDER BY i) AS d,
+                  sqrt(count(*) FILTER (WHERE d > 0)) AS sigma FROM spread),
+scaled AS (
+  SELECT is_new, [CASE WHEN d[i] > 0 THEN (v[i] - m[i]) / d[i] ELSE 0 END FOR i IN range(1, 11)] AS z
+  FROM sides, scales),
+drawn AS (
+  SELECT j, list(sqrt(-2 * ln(r)) * cos(2 * pi() * a) / sigma ORDER BY i) AS w, any_value(b) AS b
+  FROM (SELECT i, j,
+      (('0x' || substr(md5('42|r|' || i || '|' || j), 1, 12))::BIGINT + 0.5e0) / 281474976710656e0 AS r,
+      (('0x' || substr(md5('42|a|' || i || '|' || j), 1, 12))::BIGINT + 0.5e0) / 281474976710656e0 AS a,
+      2 * pi() * (('0x' || substr(md5('42|b|' || j), 1, 12))::BIGINT + 0.5e0) / 281474976710656e0 AS b
+    FROM range(10) t(i), range(128) u(j)), scales
+  GROUP BY j),
+waves AS (SELECT is_new, j, sqrt(2e0 / 128) * cos(list_dot_product(z, w) + b) AS phi
+          FROM scaled, drawn),
+sums AS (
+  SELECT j, sum(phi) FILTER (WHERE is_new) AS s1, sum(phi) FILTER (WHERE NOT is_new) AS s0,
+    sum(phi * phi) FILTER (WHERE is_new) AS q1, sum(phi * phi) FILTER (WHERE NOT is_new) AS q0,
+    count(*) FILTER (WHERE is_new) AS n1, count(*) FILTER (WHERE NOT is_new) AS n0
+  FROM waves GROUP BY j)"""
+
 _RUNS = _JUDGED + """,
 runs AS (
   SELECT brand AS experiment, CAST(trial AS INT) AS trial,
@@ -398,6 +428,12 @@ SELECT CAST(customer_id AS VARCHAR) AS customer_id,
        '{"customer_id":"' || CAST(customer_id AS VARCHAR) || '","recommended_products":['
        || coalesce(string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id), '')
        || ']}' AS json
+FROM hits GROUP BY customer_id""", _ASKED),
+    "predict_stream": _sql("""
+SELECT CAST(customer_id AS VARCHAR) AS customer_id,
+       '{"customer_id":"' || CAST(customer_id AS VARCHAR) || '","recommended_products":['
+       || coalesce(string_agg(CAST(product_id AS VARCHAR), ',' ORDER BY product_id), '')
+       || ']}' AS json
 FROM hits GROUP BY customer_id""", _ASKED),
     "recommendation_message": _sql("""
 SELECT CAST(customer_id AS VARCHAR) AS customer_id,
@@ -498,6 +534,24 @@ FROM features""", _SCORED, _FEATURES).replace(f"tx AS ({TRANSACTIONS_SQL})", f""
   SELECT * REPLACE (CASE WHEN customer_id % 5 = 0 THEN 0e0 ELSE X END AS X,
                     CASE WHEN customer_id % 11 = 0 THEN 0e0 ELSE Y END AS Y)
   FROM ({CUSTOMERS_SQL}) c)""", 1),
+    "drift_distance": _sql("""
+SELECT CAST(n0 AS BIGINT) AS n_ref, CAST(n1 AS BIGINT) AS n_new, round(
+  (sum(s1 * s1) - sum(q1)) / (n1 * (n1 - 1)) + (sum(s0 * s0) - sum(q0)) / (n0 * (n0 - 1))
+  - 2 * sum(s1 * s0) / (n1 * n0), 6) AS mmd2
+FROM sums GROUP BY n0, n1""", _BALANCED, _FEATURES, _DRIFT),
+    "dropped_rows": _sql("""
+, t AS (SELECT DISTINCT CASE WHEN order_id % 13 <> 0 THEN customer_id END AS customer_id,
+    product_id, order_id, CASE WHEN order_id % 97 <> 0 THEN purchase_date END AS purchase_date,
+    CASE WHEN order_id % 31 <> 0 THEN items - 20 END AS items FROM tx),
+c AS (SELECT customer_id, product_id, CAST(date_trunc('week', purchase_date) AS DATE) AS week,
+    coalesce(sum(items), 0) AS items FROM t GROUP BY 1, 2, 3)
+SELECT 'cells' AS what, count(*) AS n FROM c
+UNION ALL SELECT 'negative_cells', count(*) FROM c WHERE items < 0
+UNION ALL SELECT 'undated_cells', count(*) FROM c WHERE week IS NULL
+UNION ALL SELECT 'transactions', count(*) FROM t
+UNION ALL SELECT 'undated', count(*) FROM t WHERE purchase_date IS NULL
+UNION ALL SELECT 'without_customer', count(*) FROM t WHERE customer_id IS NULL
+UNION ALL SELECT 'without_items', count(*) FROM t WHERE items IS NULL"""),
     "weekly_sales_incremental": _sql("SELECT * FROM sold"),
     "archive_same_range": _sql("SELECT DISTINCT * FROM tx"),
     "csv_missing_texts": _sql("""

@@ -90,10 +90,15 @@ def run_pipeline(spark: SparkSession, cfg: Config) -> dict:
     tx = read_transactions(spark, cfg.history_dir)
     cust, prod = read_customers(spark, cfg.customers), read_products(spark, cfg.products)
 
-    write_features(training_set_v2(tx, cust, prod, cfg.seed), cfg.path("training"))
+    dropped: dict = {}
+    write_features(training_set_v2(tx, cust, prod, cfg.seed, dropped=dropped),
+                   cfg.path("training"))
+    write_features(spark.createDataFrame(sorted(dropped.items()), "what string, n long")
+                   .coalesce(1), cfg.path("dropped"))
     table = spark.read.schema(TRAINING_V2).parquet(cfg.path("training"))
     models = ModelStore(spark, cfg.path("models"))
-    out = {"training": cfg.path("training"), "models": cfg.path("models")}
+    out = {"training": cfg.path("training"), "models": cfg.path("models"),
+           "dropped": cfg.path("dropped")}
     try:
         model = models.load_newest(EXPERIMENT)
         step = drift_step(model, table) if cfg.check == "drift" else degradation_step(

@@ -347,8 +347,8 @@ def rec_backfill(spark, folder):
     return recommend.rec_backfill(sales.purchase_history(tx), sales.top_products(tx, 10))
 
 
-def _filtered(spark, folder, distinct=False) -> DataFrame:
-    """A request per customer: no lists, empty lists, a brand list or a package list."""
+def _request_lines(spark, folder) -> DataFrame:
+    """A JSON request per customer: no lists, empty lists, a brand list or a package list."""
     key = F.col("customer_id")
     none = F.lit(None).cast("array<string>")
     brand = F.array(F.concat(F.lit("Brand#"), (1 + key % 25).cast("string")), F.lit("Brand#3"))
@@ -358,8 +358,12 @@ def _filtered(spark, folder, distinct=False) -> DataFrame:
         .when(key % 4 == 2, brand).otherwise(none).alias("brands"),
         F.when(key % 4 == 3, F.array(F.lit("hot"), F.lit("small"))).otherwise(none)
         .alias("packages"))
+    return asked.select(F.to_json(F.struct("*")).alias("value"))
+
+
+def _filtered(spark, folder, distinct=False) -> DataFrame:
     # requests come in and answers go out as JSON
-    lines = asked.select(F.to_json(F.struct("*")).alias("value"))
+    lines = _request_lines(spark, folder)
     return recommend.recommend_requests(recommend.requests_from_json(lines),
                                         _judged(spark, folder), distinct=distinct)
 
@@ -375,6 +379,34 @@ def predict_json(spark, folder):
     return recommend.answers_json(_filtered(spark, folder))
 
 
+def predict_stream(spark, folder):
+    """The requests in two files, taken in one after the other, and once more without news."""
+    from cartwheel.streaming.requests import answer_requests, read_answers
+    lines = _request_lines(spark, folder)
+    drop, answers, state = (scratch_path(spark, n) for n in ("requests", "answers", "state"))
+    candidates = stage(_judged(spark, folder), "candidates")
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for k in (0, 1):
+        lines.filter(half == k).write.mode("append").text(drop)
+        answer_requests(spark, drop, candidates, answers, state)
+    answer_requests(spark, drop, candidates, answers, state)
+    return read_answers(spark, answers)
+
+
+def dropped_rows(spark, folder):
+    """What the training table leaves out, counted while its sales are written: every 97th order
+    undated, every 31st without items, returns of more than was bought."""
+    tx, c, p = _inputs(spark, folder)
+    key, gap = F.col("order_id"), F.lit(None)
+    tx = tx.withColumns({
+        "purchase_date": F.when(key % 97 != 0, F.col("purchase_date")),
+        "items": F.when(key % 31 != 0, F.col("items") - 20), "customer_id":
+        F.when(key % 13 != 0, F.col("customer_id")).otherwise(gap)})
+    found: dict = {}
+    staged_sales(tx, c, p, found)
+    return spark.createDataFrame(sorted(found.items()), "what string, n long")
+
+
 def recommendation_message(spark, folder):
     return recommend.format_recommendations(_filtered(spark, folder)).select(
         "customer_id", "message")
@@ -557,6 +589,11 @@ def mmd_rff(spark, folder):
     return _newest_drift(spark, folder)
 
 
+def drift_distance(spark, folder):
+    """The statistic of the drift test and the rows it compares, without the permutations."""
+    return _newest_drift(spark, folder).select("n_ref", "n_new", F.round("mmd2", 6).alias("mmd2"))
+
+
 def drift_decision(spark, folder):
     return drift.drift_decision(_newest_drift(spark, folder))
 
@@ -572,11 +609,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         calendar_features, zone_round, balanced_sample, temporal_split, random_split,
         latest_week_split, zone_features, grid_full_cross, grid_next_week, grid_next_week_size, recommend_batch,
         rec_known_customers, rec_backfill, predict_filter, predict_json,
+        predict_stream, dropped_rows,
         recommendation_message, filter_options, score_positive, class_weight, f1_score,
         classification_report, runs_search, best_run, optimization_history,
         degradation_decision, weekly_window_events, standard_scale, minmax_scale,
         impute_numeric, impute_median, impute_mode, encode_onehot, encode_ordinal, date_features,
-        train_and_score, feature_importance, hyperparameter_search, mmd_rff, drift_decision)
+        train_and_score, feature_importance, hyperparameter_search, mmd_rff, drift_distance,
+        drift_decision)
 }
 QUERIES.update({
     "training_set_v2": training_v2,

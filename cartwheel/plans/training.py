@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from cartwheel.operators.features import (
     customer_stats, packed_features, pair_attributes, pair_summary, passed_on, product_stats,
@@ -14,10 +14,33 @@ from cartwheel.operators.sampling import balanced_cut, balanced_sample
 from cartwheel.session import stage
 
 
-def staged_sales(tx: DataFrame, cust: DataFrame, prod: DataFrame) -> DataFrame:
+def staged_sales(tx: DataFrame, cust: DataFrame, prod: DataFrame,
+                 dropped: dict | None = None) -> DataFrame:
     """Distinct transactions summed to weekly cells, written once: every later step reads this
-    table instead of scanning the transactions again."""
-    return stage(fan_out(weekly_sales(tx.distinct()), cust, prod), "sales")
+    table instead of scanning the transactions again.
+
+    ``dropped`` is filled with what later steps leave out, counted while the table is written.
+    """
+    if dropped is None:
+        return stage(fan_out(weekly_sales(tx.distinct()), cust, prod), "sales")
+    lines, cells = Observation(), Observation()
+
+    def gaps(condition):
+        return F.count(F.when(condition, 1))
+
+    distinct = tx.distinct().observe(
+        lines, F.count(F.lit(1)).alias("transactions"),
+        gaps(F.col("purchase_date").isNull()).alias("undated"),
+        gaps(F.col("customer_id").isNull()).alias("without_customer"),
+        gaps(F.col("items").isNull() | F.isnan(F.col("items").cast("double")))
+        .alias("without_items"))
+    summed = fan_out(weekly_sales(distinct), cust, prod).observe(
+        cells, F.count(F.lit(1)).alias("cells"), gaps(F.col("items") < 0).alias("negative_cells"),
+        gaps(F.col("week").isNull()).alias("undated_cells"))
+    sold = stage(summed, "sales")
+    dropped.update(lines.get)
+    dropped.update(cells.get)
+    return sold
 
 
 def balanced_cells(sold: DataFrame, cust: DataFrame, seed: int = 42,
@@ -76,7 +99,8 @@ def purchase_features(rows: DataFrame, cust: DataFrame, prod: DataFrame) -> Data
 
 def training_set_v2(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int = 42,
                     balance: bool = True, on_short: str = "raise", mode: str = "reference",
-                    features_before_sampling: bool = False) -> DataFrame:
+                    features_before_sampling: bool = False,
+                    dropped: dict | None = None) -> DataFrame:
     """Labelled cells with purchase, recency and zone features.
 
     ``balance=True``: features over all bought and equally many not-bought cells (training), or
@@ -84,8 +108,9 @@ def training_set_v2(tx: DataFrame, cust: DataFrame, prod: DataFrame, seed: int =
     ``balance=False``: features over the whole grid (scoring); its cells are never shuffled.
     ``mode="point_in_time"``: every figure from weeks before the cell's own
     (operators/point_in_time.py); these do not depend on sampling.
+    ``dropped`` is filled with counts of the rows that are left out.
     """
-    sold = staged_sales(tx, cust, prod)
+    sold = staged_sales(tx, cust, prod, dropped)
     if mode == "point_in_time":
         packed = chosen_grid(sold, cust, seed, on_short) if balance else packed_grid(sold, cust)
         return point_in_time_features(packed, sold, cust, prod)

@@ -14,7 +14,9 @@ KEYS = ["weekly_sales", "grid_labeled", "balanced_sample", "training_set_v2", "s
         "standard_scale", "temporal_split", "random_split", "grid_full_cross",
         "classification_report", "degradation_decision", "weekly_window_events",
         "ingest_incremental", "features_with_gaps", "impute_median", "impute_mode",
-        "grid_next_week", "scoring_set_v1"]
+        "grid_next_week", "scoring_set_v1", "training_set_unskewed", "features_point_in_time",
+        "weekly_sales_incremental", "archive_same_range", "csv_missing_texts", "predict_stream",
+        "dropped_rows", "drift_distance"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")
 

@@ -163,3 +163,42 @@ def test_missing_texts_and_rejects(spark, tmp_path):
     good = tables.read_features_csv(spark, str(tmp_path / "p.csv"), PRODUCTS, rejects=bad)
     assert sorted(str(r.product_id) for r in good.collect()) == ["1", "2", "None"]
     assert spark.read.parquet(bad).count() == 4
+
+
+def test_requests_are_answered_once(spark, tmp_path):
+    from cartwheel.streaming.requests import answer_requests, read_answers
+    folder, out, state = (str(tmp_path / d) for d in ("in", "out", "state"))
+    offers = spark.createDataFrame(
+        [(1, p, D, f"b{p % 2}", "k", p % 3 != 0) for p in range(1, 7)],
+        "customer_id long, product_id long, week date, brand string, package string, bought boolean"
+    ).withColumn("prediction", F.col("bought").cast("int"))
+    assert read_answers(spark, out).isEmpty()
+
+    def send(*lines):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode(
+            "append").text(folder)
+        return answer_requests(spark, folder, offers, out, state)
+
+    assert send('{"customer_id": "1", "brands": ["b1"]}', "not json", '{"brands": []}') == 3
+    assert answer_requests(spark, folder, offers, out, state) == 0
+    assert send('{"customer_id": "7"}', '{"customer_id": "1", "brands": []}') == 2
+    got = sorted(r.json for r in read_answers(spark, out).collect())
+    assert got == ['{"customer_id":"1","recommended_products":[1,2,4,5]}',
+                   '{"customer_id":"1","recommended_products":[1,5]}',
+                   '{"customer_id":"7","recommended_products":[]}']
+    bad = spark.read.option("recursiveFileLookup", "true").schema("value string").parquet(
+        out + "-rejected")
+    assert sorted(r.value for r in bad.collect()) == ["not json", '{"brands": []}']
+
+
+def test_dropped_rows_are_counted(spark, tmp_path):
+    from cartwheel.plans.training import staged_sales
+    from cartwheel.schemas import CUSTOMERS
+    rows = [(1, 1, 1, D, 2.0), (1, 1, 1, D, 2.0), (1, 2, 2, None, 1.0), (None, 1, 3, D, 1.0),
+            (1, 3, 4, D, -5.0), (1, 3, 5, D, 1.0), (2, 1, 6, D, None), (2, 2, 7, D, float("nan"))]
+    found: dict = {}
+    sold = staged_sales(tx_of(spark, rows), spark.createDataFrame([], CUSTOMERS),
+                        spark.createDataFrame([], PRODUCTS), found)
+    assert found == {"transactions": 7, "undated": 1, "without_customer": 1, "without_items": 2,
+                     "cells": 6, "negative_cells": 1, "undated_cells": 1}
+    assert sold.count() == 6
