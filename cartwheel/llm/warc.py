@@ -258,12 +258,24 @@ def read_archives(spark: SparkSession, manifest: DataFrame, split: int = RANGE)
                                    "payload_bytes long, payload_digest string, refers_to long")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with scheme and host. A bare path means the cluster's default file system, as it
+    does for tables written by Spark, and not each machine's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return file_uri(path.makeQualified(store.getUri(), store.getWorkingDirectory()).toString())
+
+
+def file_uri(folder: str) -> str:
+    """``file:/x`` as ``file:///x``, the form that other libraries read; others as they are."""
+    return f"file://{folder[5:]}" if folder.startswith("file:/") and not folder.startswith(
+        "file://") else folder
+
+
 def write_and_read(pages: DataFrame, split: int = RANGE) -> DataFrame:
     """Writes an archive record per page to the shared folder and reads all of them back."""
     spark = pages.sparkSession
-    folder = scratch_path(spark, "warc")
-    if "://" not in folder:
-        folder = folder if folder.startswith("file:") else f"file://{folder}"
+    folder = qualified(spark, scratch_path(spark, "warc"))
     # the manifest's table is made first and with it the folder
     spark.createDataFrame([], "path string").write.parquet(f"{folder}/made")
     manifest = write_archives(plan_records(pages), folder)

@@ -209,3 +209,56 @@ def test_slot_map_versions(spark):
     assert max(load.values()) < 1.05 * min(load.values()) and len(load) == 5
     got = sharding.shard_documents(frame, 5, 256, maps).collect()
     assert {(r.vslot, r.shard) for r in got} <= set(second)
+
+
+def test_equal_rows_are_spread_by_bytes(spark):
+    """The law on the result: no two shards are further apart than 1 % or one record."""
+    rows = [(1, "the same text in very many rows", "k")] * 4000 + [
+        (10 + i, "x" * (i % 57), "k") for i in range(100)] + [(None, None, "k")] * 9
+    frame = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    for block in (4096, 7):
+        sharding.BLOCK = block
+        got = sharding.shard_documents(frame).collect()
+        assert Counter((r.doc_id, r.size) for r in got) == Counter(
+            (d, len(t or "") + 1) for d, t, _ in rows)
+        load = Counter()
+        for r in got:
+            load[r.shard] += r.size
+        assert max(load.values()) - min(load.values()) <= max(
+            max(r.size for r in got), 0.01 * sum(load.values()) / 8)
+        for s in range(8):
+            places = sorted(r.slot for r in got if r.shard == s)
+            assert places == list(range(len(places)))
+    sharding.BLOCK = 4096
+
+
+def test_a_stored_map_is_opened_again(spark, tmp_path):
+    frame = spark.createDataFrame([(i, "t" * (i % 90)) for i in range(600)],
+                                  "doc_id long, text string")
+    path = str(tmp_path / "map")
+    first = {r.doc_id: r.shard for r in sharding.shard_documents(
+        frame, 4, 256, sharding.SlotMap(spark, path)).collect()}
+    again = sharding.SlotMap(spark, path)
+    assert again.version == 1
+    assert {r.doc_id: r.shard for r in sharding.shard_documents(
+        frame, 4, 256, again).collect()} == first and again.version == 1
+    grown = sharding.shard_documents(frame, 5, 256, sharding.SlotMap(spark, path)).collect()
+    reopened = sharding.SlotMap(spark, path)
+    assert reopened.version == 2 and {s for _, s in reopened.pairs()} == set(range(5))
+    moved = [r for r in grown if r.shard != first[r.doc_id]]
+    assert 0 < len(moved) < 0.3 * len(grown) and dict(reopened.pairs(1)) != dict(reopened.pairs())
+
+
+def test_archive_folders_name_their_store(spark):
+    from cartwheel.llm import warc
+    assert warc.qualified(spark, "/shared/x") == "file:///shared/x"
+    assert warc.file_uri("file:/a/b") == "file:///a/b"
+    assert warc.file_uri("hdfs://host:8020/a") == "hdfs://host:8020/a"
+    conf = spark._jsc.hadoopConfiguration()
+    default = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://elsewhere/")
+    conf.set("fs.viewfs.mounttable.elsewhere.link./shared", "file:///tmp")
+    try:
+        assert warc.qualified(spark, "/shared/x").startswith("viewfs://elsewhere/shared/x")
+    finally:
+        conf.set("fs.defaultFS", default)
