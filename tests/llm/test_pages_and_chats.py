@@ -173,3 +173,35 @@ def test_conversations(spark):
 def test_loss_flags(role):
     flags = [loss for _, loss in chat.Formatter(chat.Template()).segments(role, "x")]
     assert flags == [False, role == "assistant", False]
+
+
+@pytest.mark.parametrize("html", [
+    '<article><p title="the hidden gem">TEXT</p></article>',
+    '<article itemid="http://x.org/ad/1"><p>TEXT</p></article>',
+    '<article><p data-id="share">TEXT</p></article>',
+    '<article class="post comments-open"><p>TEXT</p></article>',
+    '<div id="content-sidebar-wrap"><article><p>TEXT</p></article></div>',
+    '<article><section class="related-work"><p>TEXT</p></section></article>',
+    '<article><object><p>TEXT</p></object></article>',
+    '<article><p>TEXT</p><p hidden>gone</p><div class=\'comments\'>gone</div></article>',
+    '<article><p>TEXT</p></article><div class="comments"><article class="comment">no</article></div>'])
+def test_attributes_are_read_by_name(html):
+    from cartwheel.llm.html_hosts import page_blocks
+    assert page_blocks(html)[1] == ["TEXT"]
+
+
+def test_formula_stays_in_its_block():
+    from cartwheel.llm.html_hosts import page_blocks
+    assert page_blocks("<article><p>so <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds</p>")[1] == [
+        "so x=1 holds"]
+
+
+def test_two_versions_of_a_page_keep_their_text():
+    from cartwheel.llm.html_hosts import BODY, unique_runs
+    words = [f"w{i}" for i in range(60)]
+    menu = [f"menu{i}" for i in range(12)]
+    pages = [[" ".join(menu), " ".join(words)], [" ".join(menu), " ".join(words[:59] + ["changed"])],
+             [" ".join(menu), " ".join(f"other{i}" for i in range(60))]]
+    first, second, third = unique_runs([BODY] * 3, pages)
+    assert " ".join(words) in first and "w58 changed" in second
+    assert third == " ".join(f"other{i}" for i in range(60))
