@@ -128,6 +128,67 @@ def test_scores_beat_the_base_on_held_out_rows(spark):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def test_scores_do_not_depend_on_the_layout(spark):
+    """The same rows in other partitions and another order; shards of any size keep the sums right."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    ways = [docs.coalesce(1), docs.repartition(7), docs.repartition(200).orderBy("text")]
+    got = [{r.doc_id: r.score for r in lm_mixing.score_documents(d).collect()} for d in ways]
+    assert len(got[0]) == docs.count()
+    for other in got[1:]:
+        assert other.keys() == got[0].keys()
+        assert max(abs(other[k] - got[0][k]) for k in other) < 1e-6
+
+
+def test_shards_hold_whole_subtrees(spark, monkeypatch):
+    """Tokens that begin alike to their depth stand in one shard, no more than the limit of them."""
+    import random
+    random.seed(5)
+    monkeypatch.setattr(lm_mixing, "LIMIT", 20)
+    monkeypatch.setattr(lm_mixing, "HOT_SHARE", 1000)
+    monkeypatch.setattr(lm_mixing, "SHARD", 50)
+    words = {"".join(random.choices("ab", k=random.randint(1, 9))) for _ in range(900)}
+    words |= {"q" * 70 + str(i) for i in range(100)} | {"é" * 5, ""}
+    rows = [(b"\0\0\0\1" + (w.encode() or lm_mixing.END), 1, 1) for w in sorted(words)]
+    got = lm_mixing.sharded(spark.createDataFrame(rows, "token binary, n long, c long")).collect()
+    assert len(got) == len(rows)
+    where, size = {}, Counter()
+    for r in got:
+        lead = bytes(r.token)[:4 + r.depth]
+        if len(r.token) > 68:  # alike beyond the last level: dealt by hash
+            assert r.depth == lm_mixing.LEVELS[-1]
+            continue
+        assert where.setdefault(lead, r.shard) == r.shard
+        size[lead] += 1
+    assert max(size.values()) <= 20 and len({r.depth for r in got}) > 2
+
+
+def test_counts_of_a_shard_and_of_the_shared_tables(spark, monkeypatch):
+    """Every context is counted once, in the shard or in the shared tables: against a plain count."""
+    import numpy as np
+    from collections import defaultdict
+    monkeypatch.setattr(lm_mixing.Shard, "ROOM", 14)  # no two contexts meet in a slot
+    mark = b"\0\0\0\1"
+    words = ["ab", "abc", "abd", "b", "abcde", "x" * 30, ""]
+    seen = [3, 1, 2, 5, 0, 4, 7]
+    tokens = [mark + (w.encode() or lm_mixing.END) for w in words]
+    frame = spark.createDataFrame([(t, c, 2) for t, c in zip(tokens, seen)],
+                                  "token binary, c long, depth int")
+    table = lm_mixing.bit_counts(frame)
+    shard = lm_mixing.Shard(tokens, np.array(seen, np.float32), np.full(len(tokens), 2))
+    brute = defaultdict(lambda: [0, 0])
+    for w, c in zip(words, seen):
+        data = w.encode() + b" "
+        for i, byte in enumerate(data):
+            for k in range(8):
+                brute[data[:i], k, byte >> (8 - k)][byte >> (7 - k) & 1] += c
+    for a, b, bits in shard.parts():
+        for k, (_, _, pairs) in enumerate(lm_mixing.counted(bits, table, shard)):
+            for at, (owner, place) in enumerate(zip(bits.owner, bits.place)):
+                data = words[a + owner].encode() + b" "
+                want = brute[data[:place], k, data[place] >> (8 - k)]
+                assert [pairs[-1][0][at], pairs[-1][1][at]] == want
+
+
 def brute_measures(text):
     words = text.encode().split()
     windows = Counter(tuple(words[i:i + 3]) for i in range(len(words) - 2))
