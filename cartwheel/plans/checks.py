@@ -171,6 +171,14 @@ top AS (SELECT product_id, items, row_number() OVER (ORDER BY items DESC, produc
 hist AS (SELECT customer_id, product_id, sum(items) AS items FROM tx GROUP BY 1, 2)"""
 
 
+_PLACED = """,
+placed AS (
+  SELECT s.customer_id, s.week, round_even(coalesce(X, 0) * 1e1, 0) / 1e1 AS zone_X,
+         round_even(coalesce(Y, 0) * 1e1, 0) / 1e1 AS zone_Y
+  FROM (SELECT DISTINCT customer_id, week FROM sold WHERE week IS NOT NULL) s
+  JOIN cust USING (customer_id))"""
+
+
 def _sql(body: str, *parts: str) -> str:
     return "WITH " + _INPUTS.strip() + "".join(parts) + "\n" + body.strip()
 
@@ -378,6 +386,14 @@ SELECT customer_id, zone_X, zone_Y, zone_avg_purchase_freq, zone_total_purchases
        zone_customer_density
 FROM (SELECT DISTINCT customer_id, zone_X, zone_Y FROM rws) JOIN zones USING (zone_X, zone_Y)""",
                           _SCORED, _FEATURES),
+    "zone_customers": _sql("""
+SELECT zone_X, zone_Y, week, count(DISTINCT customer_id) AS customers,
+       (SELECT count(DISTINCT p.customer_id) FROM placed p
+        WHERE p.zone_X = w.zone_X AND p.zone_Y = w.zone_Y AND p.week <= w.week) AS customers_so_far
+FROM placed w GROUP BY zone_X, zone_Y, week""", _PLACED),
+    "zone_customers_sketch": _sql("""
+SELECT zone_X, zone_Y, count(DISTINCT customer_id) AS customers, true AS within
+FROM placed GROUP BY zone_X, zone_Y""", _PLACED),
     "grid_full_cross": _sql("""
 SELECT week, nc * np AS cells, bought, negative, nc * np - bought - negative AS unbought
 FROM (SELECT week, count(*) FILTER (items > 0) AS bought, count(*) FILTER (items < 0) AS negative

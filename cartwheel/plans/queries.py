@@ -231,6 +231,28 @@ def zone_round(spark, folder):
         "customer_id", round_half_even("X").alias("zone_X"), round_half_even("Y").alias("zone_Y"))
 
 
+def zone_customers(spark, folder):
+    from cartwheel.operators.zone_customers import zone_customers
+    return zone_customers(star.transactions(spark, folder), star.customers(spark, folder))
+
+
+def zone_customers_sketch(spark, folder):
+    """Sketches of three batches that overlap, next to the exact count: is each zone's estimate
+    within five standard errors, as the precision states them?"""
+    from cartwheel.operators import zone_customers as zones
+    tx, cust = star.transactions(spark, folder), star.customers(spark, folder)
+    root, year = scratch_path(spark, "zone-sketches"), F.year("purchase_date")
+    for name, part in (("a", year <= 1995), ("b", year.between(1995, 1997)), ("c", year >= 1997)):
+        zones.add_batch(spark, root, name, tx.filter(part), cust)
+    guess = zones.estimated_customers(zones.read_sketches(spark, root), *zones.ZONE)
+    exact = zones.zone_customers(tx, cust).groupBy(*zones.ZONE).agg(
+        F.max("customers_so_far").alias("exact"))
+    error = 5 * 1.04 / 2 ** (zones.PRECISION / 2)
+    return exact.join(guess, zones.ZONE, "full").select(
+        *zones.ZONE, F.col("exact").alias("customers"),
+        (F.abs(F.col("customers") - F.col("exact")) <= error * F.col("exact")).alias("within"))
+
+
 # --- samples and splits -------------------------------------------------------------------------
 
 def balanced_sample(spark, folder):
@@ -607,7 +629,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         grid_per_customer, grid_labeled, label_target, split_pos_neg, fill_nulls, top_products,
         rec_history, avg_items, num_orders, periodicity, periodicity_timestamp,
         calendar_features, zone_round, balanced_sample, temporal_split, random_split,
-        latest_week_split, zone_features, grid_full_cross, grid_next_week, grid_next_week_size, recommend_batch,
+        latest_week_split, zone_features, zone_customers, zone_customers_sketch, grid_full_cross,
+        grid_next_week, grid_next_week_size, recommend_batch,
         rec_known_customers, rec_backfill, predict_filter, predict_json,
         predict_stream, dropped_rows,
         recommendation_message, filter_options, score_positive, class_weight, f1_score,
