@@ -85,14 +85,35 @@ def _distance(one: np.ndarray, rest: np.ndarray) -> float:
                  - 2.0 * (a @ b) / (n1 * n0))
 
 
+def median_squared_distance(rows: DataFrame, n: int) -> float | None:
+    """Median of the squared distance over about 0.3 ``n`` pairs of the ``n`` rows (x, key).
+
+    Rows are dealt by a hash of their key into n / 2 slots; a slot's rows of least and greatest
+    second hash are a pair. Every row may be drawn, each slot keeps two rows however many copies
+    fall into it (partial results are merged before the shuffle), and the median comes from a mergeable
+    quantile sketch. Rows with one key never pair with each other. None without a pair.
+    """
+    row = F.struct(F.xxhash64("key", F.lit(2)).alias("h"), "x")
+    slots = (rows.groupBy(F.pmod(F.xxhash64("key", F.lit(1)), F.lit(max(1, n // 2))).alias("slot"))
+             .agg(F.min(row).alias("a"), F.max(row).alias("b")).filter("a.h < b.h"))
+    gaps = F.zip_with("a.x", "b.x", lambda u, v: (u - v) * (u - v))
+    return slots.agg(F.percentile_approx(
+        F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g), 0.5, 10_000)).first()[0]
+
+
 def mmd_drift(ref: DataFrame, new: DataFrame, cols: list[str] | None = None,
               features: str | None = None, alpha: float = ALPHA, n_perm: int = N_PERM,
               n_features: int = N_FEATURES, seed: int = 42,
-              min_rows: int = MIN_ROWS) -> DataFrame:
+              min_rows: int = MIN_ROWS, width: str = "mean") -> DataFrame:
     """One row: distance, p-value, decision and both row counts. Inputs are numeric ``cols``
     (scaled to unit variance here) or a ready vector column ``features``. With fewer than
     ``min_rows`` rows on a side the distance and p-value are null and there is no drift.
+    The kernel's width squared is half the mean squared distance of two rows (exact, no pass of its
+    own), or with ``width="median"`` half the median, from hash-matched pairs. Where most pairs are
+    equal, so that the median is 0, the mean is taken.
     """
+    if width not in ("mean", "median"):
+        raise ValueError(f"width is mean or median, not {width!r}")
     spark = ref.sparkSession
     both = ref.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
     if features is None:
@@ -120,6 +141,9 @@ def mmd_drift(ref: DataFrame, new: DataFrame, cols: list[str] | None = None,
         var = (var > 0).astype(float)
     # mean squared distance of two rows is twice the total variance: half of it sets the width
     sigma = float(np.sqrt(var.sum())) or 1.0
+    if width == "median":
+        middle = median_squared_distance(rows.select(x.alias("x"), "key"), n0 + n1)
+        sigma = math.sqrt(middle / 2.0) if middle else sigma
     run = _partial_sums(len(var), sigma, n1 / (n0 + n1), n_perm, n_features, seed)
     parts = rows.select(x.alias("x"), F.col("_new").alias("is_new"), "key").mapInPandas(
         run, "perm int, s array<double>")

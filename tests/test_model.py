@@ -209,6 +209,27 @@ def test_false_alarm_rate_is_near_the_level():
     assert 0.005 < alarms / runs < 0.12
 
 
+def test_median_width(spark):
+    """Near the median over all pairs, hot copies and outliers included; drift is found with it."""
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((3000, 3))
+    x[:60] *= 300  # outliers move the mean, not the median
+    rows = spark.createDataFrame([(list(map(float, v)), i) for i, v in enumerate(x)],
+                                 "x array<double>, key long")
+    every = ((x[:, None, :] - x[None, :, :]) ** 2).sum(2)[np.triu_indices(len(x), 1)]
+    got = drift.median_squared_distance(rows, 3000)
+    assert abs(got / np.median(every) - 1) < 0.12 and got < 0.1 * every.mean()
+    copies = rows.unionByName(spark.range(2000).selectExpr("array(1D, 1D, 1D) x", "-1L key"))
+    assert abs(drift.median_squared_distance(copies, 3000) / np.median(every) - 1) < 0.12
+    assert drift.median_squared_distance(rows.limit(1), 1) is None
+    ref, cols = normal(spark, 600), ["a", "b", "c"]
+    for shift, moved in ((0.0, False), (0.7, True)):
+        row = drift.mmd_drift(ref, normal(spark, 150, shift, 2, 2000), cols, width="median").first()
+        assert row.is_drift == moved and row.n_new == 150
+    with pytest.raises(ValueError):
+        drift.mmd_drift(ref, ref, cols, width="other")
+
+
 def test_few_rows_skip_the_test(spark):
     row = drift.drift_decision(drift.mmd_drift(normal(spark, 50), normal(spark, 9, 5.0),
                                                ["a", "b", "c"])).first()
