@@ -242,6 +242,50 @@ def test_fences_follow_the_group(spark):
     assert not got[2000]
 
 
+def test_verdicts_against_recomputed_fences(spark):
+    """Groups so small that sketches are exact: fences of the own group, the language and all."""
+    import random
+    random.seed(9)
+
+    def text():
+        usual = random.random() < 0.8
+        words = ["".join(random.choices("abcdefgh", k=random.randint(4, 5 if usual else 30)))
+                 for _ in range(random.randint(40, 120))]
+        words += ["#"] * random.choice([0, 1, 2, 2, 3] if usual else [5, 40, 90])
+        random.shuffle(words)
+        lines = [" ".join(words[i:i + 6]) for i in range(0, len(words), 6)]
+        return "\n".join(lines + lines[:random.choice([0, 0, 1] if usual else [0, 4, 12])])
+
+    groups = [("en", "a")] * 120 + [("en", "b")] * 25 + [("fr", "a")] * 12 + [(None, None)] * 9
+    rows = [(i, text(), *g) for i, g in enumerate(groups)]
+    values = {}
+    for i, t, lang, source in rows:
+        n, chars, symbols, dup, repeat = brute_measures(t)
+        lines = sum(bool(x.split()) for x in t.encode().split(b"\n"))
+        if n >= 50 and 100 * repeat <= 50 * n:
+            values[i] = (lang, source, {"symbol_ratio": symbols / n, "repeat_ratio": repeat / n,
+                                        "dup_line_ratio": dup / lines, "word_length": chars / n})
+
+    def limits(lang, source, name):
+        for rule in (lambda v: v[:2] == (lang, source), lambda v: v[0] == lang, lambda v: True):
+            found = sorted(v[2][name] for v in values.values() if rule(v))
+            if len(found) >= 100:
+                break
+        low, mid = (found[math.ceil(q * len(found)) - 1] for q in (0.25, 0.5))
+        wide = quality.SPREAD * (mid - low) + quality.MARGINS[name]
+        return (mid - wide if name in quality.TWO_SIDED else -math.inf), mid + wide
+
+    assert sum(v[:2] == ("en", "a") for v in values.values()) >= 100 and len(values) < 200
+    want = {}
+    for i, (lang, source, ratios) in values.items():
+        bounds = {k: limits(lang, source, k) for k in ratios}
+        want[i] = all(bounds[k][0] <= x <= bounds[k][1] for k, x in ratios.items())
+    got = quality.quality_verdicts(spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string")).collect()
+    assert {r.doc_id: r.kept for r in got} == {r[0]: want.get(r[0], False) for r in rows}
+    assert 5 < sum(not k for k in want.values()) < len(want) / 2
+
+
 def test_shards(spark, docs, no_docs):
     got = sharding.shard_documents(docs, shards=3, slots=64).collect()
     want = Counter((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()))
