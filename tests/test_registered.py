@@ -16,7 +16,7 @@ KEYS = ["weekly_sales", "grid_labeled", "balanced_sample", "training_set_v2", "s
         "ingest_incremental", "features_with_gaps", "impute_median", "impute_mode",
         "grid_next_week", "scoring_set_v1", "training_set_unskewed", "features_point_in_time",
         "weekly_sales_incremental", "archive_same_range", "csv_missing_texts", "predict_stream",
-        "dropped_rows", "drift_distance"]
+        "dropped_rows", "drift_distance", "zone_customers", "zone_customers_sketch"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data here")
 
