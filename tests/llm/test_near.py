@@ -278,3 +278,60 @@ def test_hits_come_from_windows(monkeypatch):
     assert screen.hits([b"a0 a1 a2 a3 c", b""], decontaminate.WordHash()) == [[], []]
     monkeypatch.setattr(decontaminate.Screen, "candidates", lambda *_: set())
     assert screen.hits([text], decontaminate.WordHash()) == [[]]
+
+
+def test_whole_pipeline_against_brute_force(spark, tmp_path):
+    """All four stages in a row: rows rejected, copies, contaminated and clean ones, and their ids."""
+    import corpus_pipeline
+    import public_tokenizers
+    import sentencepiece
+    random.seed(12)
+
+    def words(n):
+        return ["".join(random.choices("abcdefghij", k=random.randint(4, 7))) for _ in range(n)]
+
+    items = [(i, " ".join(words(random.randint(30, 60)))) for i in range(6)]
+    rows = []
+    for i in range(60):
+        own = words(random.randint(60, 160))
+        rows.append(own)
+        if i % 4 == 0:  # a near copy, with a fraction of the words changed that may be too large
+            edited = list(own)
+            for at in random.sample(range(len(own)), random.choice([1, 2, 30])):
+                edited[at] = "other"
+            rows.append(edited)
+        if i % 10 == 0:
+            rows.append(own[:30] + items[i // 10][1].split() + own[30:90] + words(40))
+        if i % 9 == 0:
+            rows += [words(20), words(3) * 40]  # too short, repeated
+    texts = list(enumerate(map(" ".join, rows))) + [(900, None), (901, ""), (902, "é ü\t" * 3)]
+    docs = spark.createDataFrame([(d, t, "en", "web", len(t or "")) for d, t in texts],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet")
+
+    def good(text):
+        w = (text or "").split()
+        windows = [tuple(w[i:i + 3]) for i in range(len(w) - 2)]
+        again = {k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(i, i + 3)}
+        return len(w) >= 50 and 100 * len(again) <= 50 * len(w)
+
+    first = [(d, t) for d, t in texts if good(t)]
+    group = brute_components(first)
+    second = [(d, t) for d, t in first if group[d] == d]
+    want = {d: t for d, t in second if not any(item in t for _, item in items)}
+    assert len(texts) > len(first) > len(second) > len(want) > 50
+
+    model = public_tokenizers.path(corpus_pipeline.MODEL)
+    library = sentencepiece.SentencePieceProcessor(model_file=str(model))
+    got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys()
+    for d, r in got.items():
+        assert r.text == want[d] and r.n_pieces == len(r.pieces)
+        assert list(r.pieces) in (library.encode(want[d]), library.encode(want[d], out_type=str))
+
+    none = tmp_path / "none"
+    docs.limit(0).write.parquet(f"{none}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{none}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(none)).count() == 0
