@@ -149,3 +149,29 @@ def test_degradation_by_zero_is_null(spark):
     assert df.select(degradation_pct("b", "c").alias("d")).first().d is None
     assert df.select(degradation_pct(F.lit(0.55), F.lit(0.5)).alias("d")).first().d == \
         pytest.approx(10.0)
+
+
+def test_tasks_of_a_large_input_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    from cartwheel import session
+    from cartwheel.sources import star
+    n = 20_000
+    spark.range(n).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"),
+        F.lit(2).cast("decimal(15,2)").alias("l_quantity")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"), (F.col("id") % 300).alias("o_custkey"),
+        F.date_add(F.lit(D(2021, 1, 4)), (F.col("id") % 700).cast("int")).alias("o_orderdate")
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+
+    def summed():
+        rows = star.transaction_rows(spark, str(tmp_path))
+        assert rows == n
+        return sales.weekly_sales(tables.dedupe(star.transactions(spark, str(tmp_path))), rows)
+
+    def largest(df):
+        return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+    before = cells(summed())
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    assert largest(star.transactions(spark, str(tmp_path))) < 1000
+    assert largest(summed()) < 1000
+    assert cells(summed()) == before
