@@ -251,3 +251,24 @@ def test_distance_is_near_the_exact_pairwise_value(spark):
     exact = ((k(x, x).sum() - n) / (n * (n - 1)) + (k(y, y).sum() - m) / (m * (m - 1))
              - 2 * k(x, y).mean())
     assert got.mmd2 == pytest.approx(exact, abs=0.02)
+
+
+def test_bounded_rows_are_fitted_in_few_partitions_and_fixed_order(spark, monkeypatch):
+    rows = [(i % 40, W0 + dt.timedelta(days=7 * (i % 9)), i, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "customer_id long, week date, product_id long, target int")
+    df = df.withColumns({c: F.col("product_id").cast("double") for c in train.NUMERIC_V2}
+                        | {c: (F.col("product_id") % 3).cast("string") for c in train.CATEGORICAL_V2})
+    seen = []
+
+    class Fit:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), [tuple(r.features) for r in rows.collect()]))
+            return seen
+    monkeypatch.setattr(train, "classifier", lambda *_: Fit())
+    monkeypatch.setattr(train, "PipelineModel", lambda stages: stages)
+    monkeypatch.setattr(train.Statistics, "preprocessor", lambda self, params: prep.PipelineModel([
+        prep.VectorAssembler(inputCols=["product_id"], outputCol="features")]))
+    for parts in (3, 11):
+        train.fit_model(df.repartition(parts), {}, fit_rows=200)
+    (few, first), (also, second) = seen
+    assert few == also == 1 and len(first) == 200 and first == second
