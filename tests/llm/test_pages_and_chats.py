@@ -205,3 +205,25 @@ def test_two_versions_of_a_page_keep_their_text():
     first, second, third = unique_runs([BODY] * 3, pages)
     assert " ".join(words) in first and "w58 changed" in second
     assert third == " ".join(f"other{i}" for i in range(60))
+
+
+def test_repeats_across_the_chunks_of_a_host(spark):
+    """Rare repeats and copies fall into different chunks: a host in chunks gives what it gives whole."""
+    rng = random.Random(3)
+
+    def words(k):
+        return " ".join(f"w{rng.randrange(4000)}" for _ in range(k))
+
+    passages = [(words(12), share) for share in (0.02, 0.03, 0.05, 0.3, 0.7, 0.9)]
+    rows = []
+    for i in range(120):
+        body = [words(30) for _ in range(4)] + [p for p, share in passages if rng.random() < share]
+        html = "".join(f"<p>{p}</p>" for p in rng.sample(body, len(body)))
+        html = f"<article>{html}</article>" if i % 3 == 0 else html
+        rows.append((i, f"https://{'a' if i % 40 else 'b'}.org/{i}", rows[-1][2] if i % 10 == 3 else html))
+    rows += [(200, None, None), (201, "https://a.org/", ""), rows[0]]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    whole = sorted(map(str, html_hosts.main_texts(pages, 1000).collect()))
+    assert passages[0][0] not in "".join(whole) and passages[2][0] in "".join(r[2] or "" for r in rows)
+    for n in (2, 50):
+        assert sorted(map(str, html_hosts.main_texts(pages, n).collect())) == whole
