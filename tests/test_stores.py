@@ -202,3 +202,10 @@ def test_dropped_rows_are_counted(spark, tmp_path):
     assert found == {"transactions": 7, "undated": 1, "without_customer": 1, "without_items": 2,
                      "cells": 6, "negative_cells": 1, "undated_cells": 1}
     assert sold.count() == 6
+
+
+def test_the_first_of_equal_trials_is_best(spark):
+    runs = spark.createDataFrame([("e", "b", 0, 0.5), ("e", "a", 1, 0.5), ("e", "c", 2, 0.4)],
+                                 "experiment string, run_id string, trial int, valid_f1 double")
+    assert registry.best_run(runs).first().run_id == "b"
+    assert registry.best_run(runs, "e").first().run_id == "b"
