@@ -175,3 +175,26 @@ def test_tasks_of_a_large_input_hold_a_bounded_number_of_rows(spark, tmp_path, m
     assert largest(star.transactions(spark, str(tmp_path))) < 1000
     assert largest(summed()) < 1000
     assert cells(summed()) == before
+
+
+def test_distinct_rows_and_pairs_are_dealt_by_their_number(spark, monkeypatch):
+    from cartwheel import session
+    from cartwheel.operators import grid
+    from cartwheel.plans.training import staged_sales
+    day = D(2020, 1, 6)
+    rows = [(i % 90 if i % 7 else None, i % 31, i // 2, day + dt.timedelta(i % 60), float(i % 5))
+            for i in range(4000)]
+    tx = spark.createDataFrame(
+        rows + rows[:50], "customer_id long, product_id long, order_id long, purchase_date date, items double")
+    cust = spark.createDataFrame([(i, i) for i in range(80)], "customer_id long, zone_id long")
+    prod = spark.createDataFrame([(i,) for i in range(31)], "product_id long")
+
+    def results(n):
+        sold = staged_sales(tx, cust, prod, rows=n)
+        return [sorted(map(str, df.collect())) for df in (
+            tables.dedupe(tx, n), sold, grid.grid_per_customer(sold, cust, rows=n))]
+    before = results(None)
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    assert results(4050) == before
+    largest = tables.dedupe(tx, 4050).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < 1000 and len(before[0]) == 4000
