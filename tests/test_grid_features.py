@@ -216,3 +216,49 @@ def test_nothing_bought_gives_an_empty_sample(spark):
     grid = spark.range(1000).selectExpr("id AS customer_id", "1 AS product_id",
                                         "DATE'2021-01-04' AS week", "0D AS items")
     assert balanced_sample(grid).count() == 0
+
+
+def test_cells_one_by_one_and_packed_give_the_same_features(spark):
+    """Customers with more cells than a task orders are packed by pair; the others pass a window."""
+    sold = [(*r[:1], r[1] if r[1] != 3 else None, *r[2:]) for r in random_sold(5) if r[3] >= 0]
+    cust, prod = dims(spark, range(5), range(1, 6))  # customer 5 and product 6 are unknown
+    rows = spark.createDataFrame(sold, SOLD)
+    windowed, packed, mixed = (purchase_features(rows, cust, prod, most=n)
+                               for n in (1000, 0, 30))
+    names = windowed.columns
+    want = as_set(windowed.fillna(-1).withColumn("last_purchase_week",
+                                                 windowed.last_purchase_week.cast("string"))
+                  .fillna(""), names)
+    assert want
+    for other in (packed, mixed):
+        assert other.columns == names
+        text = other.last_purchase_week.cast("string")
+        assert as_set(other.fillna(-1).withColumn("last_purchase_week", text).fillna(""),
+                      names) == want
+    assert "Window" in windowed._jdf.queryExecution().toString()
+
+
+@pytest.mark.parametrize("heavy_share", [1, 10 ** 9])
+def test_cells_below_a_hash_are_those_of_the_unpacked_grid(spark, heavy_share):
+    sold = [(*r[:1], r[1] if r[1] != 3 else None, *r[2:]) for r in random_sold(6)]
+    cust, _ = dims(spark, [0, 1, 2, 3, 4], [])
+    df = spark.createDataFrame(sold, SOLD)
+    from pyspark.sql import functions as F
+
+    from cartwheel.functions import hash_order
+    limit, cols = "80", ["customer_id", "product_id", "week", "items", "total_weekly_purchase"]
+    h = hash_order(["customer_id", "product_id", F.unix_date("week")], 42)
+    cells = grid.unpack(grid.packed_grid(df, cust))
+
+    def plain(rows):
+        return sorted((tuple(str(v) for v in r) for r in rows.select(*cols).collect()))
+    parts = grid.grid_parts(df, cust, heavy_share)
+    got = plain(grid.cells_below(parts, 42, limit))
+    assert got == plain(cells.filter((F.col("items") > 0) | (h < limit)))
+    assert 0 < len(got) < cells.count()
+    assert parts.sizes == tuple(grid.grid_sizes(df, cust).first())
+    assert plain(grid.cells_below(parts, 42, None)) == plain(cells)
+    # the packed rows choose the same cells
+    packed = grid.each_cell(grid.packed_grid(df, cust), 42, limit)
+    assert packed.count() == len(got)
+    assert packed.filter("_h IS NULL").count() == cells.filter("items > 0").count()
