@@ -226,8 +226,10 @@ def grid_per_customer(sold: DataFrame, cust: DataFrame,
     that is repeated there repeats its cells. ``rows``: about how many ``sold`` has, if known."""
     sold = sold.dropna(subset=["customer_id", "week"])
     pairs = dedupe(sold.select("customer_id", "product_id"), rows)
-    weeks = sold.groupBy("customer_id").agg(
-        F.collect_set("week").alias("weeks"), F.count("*").alias("sold_cells"))
+    weekly = spread(sold.select("customer_id", "week"), rows, "customer_id", "week").groupBy(
+        "customer_id", "week").agg(F.count("*").alias("cells"))
+    weeks = spread(weekly, rows, "customer_id").groupBy("customer_id").agg(
+        F.collect_list("week").alias("weeks"), F.sum("cells").alias("sold_cells"))
     joined = _join_weeks(pairs, weeks.join(cust, "customer_id"), sold, heavy_share, rows)
     return (joined.withColumn("week", F.explode("weeks"))
             .select(*CELL, *[c for c in cust.columns if c != "customer_id"]))
