@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, functions as F
@@ -28,14 +29,15 @@ N_FEATURES = 128
 _RESULT = "mmd2 double, p_value double, is_drift boolean, n_ref long, n_new long"
 
 
-def _uniform(keys: np.ndarray, salt: np.ndarray) -> np.ndarray:
-    """Hash of (row key, permutation) to [0, 1): the splitmix64 finaliser."""
+def _relabelled(keys: np.ndarray, salt: np.ndarray, share: float) -> np.ndarray:
+    """Whether the hash of (row key, permutation) to [0, 1), the splitmix64 finaliser, is below
+    ``share``; compared as integers of 53 bits."""
     with np.errstate(over="ignore"):
         z = keys[:, None] + salt[None, :] * np.uint64(0x9E3779B97F4A7C15)
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z = z ^ (z >> np.uint64(31))
-    return (z >> np.uint64(11)).astype(np.float64) / float(1 << 53)
+    return (z >> np.uint64(11)) < np.uint64(math.ceil(share * float(1 << 53)))
 
 
 def _drawn(seed: int, name: str, *at: int) -> float:
@@ -55,25 +57,41 @@ def fourier_constants(width: int, n_features: int, seed: int) -> tuple[np.ndarra
 def _partial_sums(width: int, sigma: float, share: float, n_perm: int, n_features: int, seed: int):
     """Batch function: sums of the features of label-1 rows for the true labels (perm 0) and each
     relabelling (1..n_perm), and over all rows (perm -1), one small set per partition."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame | dict]) -> Iterator[pd.DataFrame]:
         rng = np.random.default_rng(seed)
         w, b = fourier_constants(width, n_features, seed)
         w = w / sigma
         salt = rng.integers(1, 2 ** 63, n_perm, dtype=np.uint64)
         sums = np.zeros((n_perm + 2, n_features + 2))
-        for pdf in batches:
-            x = np.stack(pdf["x"].to_numpy())
-            phi = np.sqrt(2.0 / n_features) * np.cos(x @ w + b)
-            phi = np.hstack([phi, (phi ** 2).sum(1, keepdims=True), np.ones((len(x), 1))])
-            label = np.empty((len(x), n_perm + 2))
+        for batch in batches:
+            x = batch["x"] if isinstance(batch, dict) else np.stack(batch["x"].to_numpy())
+            n = len(x)
+            phi = np.empty((n, n_features + 2))
+            phi[:, :-2] = np.sqrt(2.0 / n_features) * np.cos(x @ w + b)
+            phi[:, -2] = np.einsum("ij,ij->i", phi[:, :-2], phi[:, :-2])
+            phi[:, -1] = 1.0
+            label = np.empty((n, n_perm + 2))
             label[:, 0] = 1.0
-            label[:, 1] = pdf["is_new"]
-            label[:, 2:] = _uniform(pdf["key"].to_numpy().astype(np.uint64), salt) < share
+            label[:, 1] = batch["is_new"]
+            label[:, 2:] = _relabelled(np.asarray(batch["key"]).astype(np.uint64), salt, share)
             sums += label.T @ phi
         yield pd.DataFrame({"perm": np.arange(-1, n_perm + 1), "s": list(sums)})
     return run
 
 
+def _in_arrow(run, width: int):
+    """The same for Arrow batches, whose vectors are read as one matrix without an object a row."""
+    def read(batch: pa.RecordBatch) -> dict:
+        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        return {"x": x, **{c: batch.column(c).to_numpy() for c in ("is_new", "key")}}
+
+    def arrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(map(read, batches)):
+            yield pa.record_batch({"perm": pa.array(out["perm"], pa.int32()),
+                                   "s": pa.array(list(out["s"]), pa.list_(pa.float64()))})
+    return arrow
+
+
 def _distance(one: np.ndarray, rest: np.ndarray) -> float:
     """Unbiased squared mean distance from the sums of two groups; the last two entries of each
     are the summed squared norms and the row count."""
@@ -145,8 +163,8 @@ def mmd_drift(ref: DataFrame, new: DataFrame, cols: list[str] | None = None,
         middle = median_squared_distance(rows.select(x.alias("x"), "key"), n0 + n1)
         sigma = math.sqrt(middle / 2.0) if middle else sigma
     run = _partial_sums(len(var), sigma, n1 / (n0 + n1), n_perm, n_features, seed)
-    parts = rows.select(x.alias("x"), F.col("_new").alias("is_new"), "key").mapInPandas(
-        run, "perm int, s array<double>")
+    parts = rows.select(x.alias("x"), F.col("_new").alias("is_new"), "key").mapInArrow(
+        _in_arrow(run, len(var)), "perm int, s array<double>")
     sums = {r.perm: np.asarray(r.s.toArray()) for r in parts.groupBy("perm").agg(
         Summarizer.sum(array_to_vector("s")).alias("s")).collect()}
     seen = _distance(sums[0], sums[-1] - sums[0])
