@@ -198,3 +198,26 @@ def test_distinct_rows_and_pairs_are_dealt_by_their_number(spark, monkeypatch):
     assert results(4050) == before
     largest = tables.dedupe(tx, 4050).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert largest < 1000 and len(before[0]) == 4000
+
+
+def test_large_joins_with_dimensions_sort_no_cells(spark, monkeypatch):
+    from cartwheel import session
+    week = D(2020, 1, 6)
+    sold = spark.createDataFrame(
+        [(i % 9 or None, i % 3000, week, float(i)) for i in range(6000)],
+        "customer_id long, product_id long, week date, items double")
+    cust = spark.createDataFrame([(1,), (1,), (2,), (None,), (None,)], "customer_id long")
+    prod = spark.createDataFrame([(i, i % 5) for i in range(2900)], "product_id long, size int")
+
+    def results(n):
+        return [df.orderBy(*df.columns).collect() for df in (
+            sales.fan_out(sold, cust, prod, n), session.join_dealt(sold, prod, n, "product_id"))]
+    before = results(None)
+    assert before[0] == results(6000)[0] and len(before[0]) == 6000 and len(before[1]) == 5800
+    monkeypatch.setattr(session, "TASK_ROWS", 500)
+    assert results(6000) == before
+    assert sum(r["items"] for r in before[0]) == sum(i * (1 + (i % 9 == 1)) for i in range(6000))
+    for df in (sales.fan_out(sold, cust, prod, 6000),
+               session.join_dealt(sold, prod, 6000, "product_id")):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin") == 1 and "Sort" not in plan.replace("SortMerge", "")
