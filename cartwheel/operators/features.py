@@ -29,10 +29,11 @@ def _last(items: str, n: int):
     return F.slice(items, F.greatest(F.size(items) - n + 1, F.lit(1)), n)
 
 
-def pair_summary(packed: DataFrame) -> DataFrame:
-    """Row count, bought cells, items and the labels of the last rows of each pair."""
+def pair_summary(packed: DataFrame, *more: str) -> DataFrame:
+    """Row count, bought cells, items and the labels of the last rows of each pair, and the columns
+    ``more``."""
     return packed.select(*PAIR, "n_rows", "n_pos", "s_items",
-                         F.transform(_last("weeks", TREND_ROWS - 1), _label).alias("tail"))
+                         F.transform(_last("weeks", TREND_ROWS - 1), _label).alias("tail"), *more)
 
 
 def cell_totals(cells: DataFrame, key: str) -> DataFrame:
@@ -72,26 +73,29 @@ def product_stats(pairs: DataFrame, prod: DataFrame) -> DataFrame:
     return means.join(prod, "product_id", "left")
 
 
-def carried_labels(pairs: DataFrame) -> DataFrame:
-    """Per pair, the labels of the customer's last rows before this product (oldest first).
+def carried_labels(pairs: DataFrame, *more: str) -> DataFrame:
+    """Per pair, the labels of the customer's last rows before this product (oldest first), and the
+    columns ``more``.
 
     The window runs over one small row per product of a customer, so the catalogue bounds it.
     """
     n = TREND_ROWS - 1
     before = (Window.partitionBy("customer_id").orderBy(F.coalesce("product_id", F.lit(0)))
               .rowsBetween(-n, -1))
-    return (pairs.select(*PAIR, F.flatten(F.collect_list("tail").over(before)).alias("_labels"))
-            .select(*PAIR, _last("_labels", n).alias("carry")))
+    return (pairs.select(*PAIR, F.flatten(F.collect_list("tail").over(before)).alias("_labels"),
+                         *more)
+            .select(*PAIR, _last("_labels", n).alias("carry"), *more))
 
 
-def pair_attributes(pairs: DataFrame, by_customer: DataFrame, by_product: DataFrame) -> DataFrame:
-    """Carried labels and both statistics per pair: narrow rows without weeks.
+def pair_attributes(pairs: DataFrame, by_customer: DataFrame, by_product: DataFrame,
+                    *more: str) -> DataFrame:
+    """Carried labels, both statistics and the columns ``more`` per pair: narrow rows without weeks.
 
     ``by_customer`` is matched inner and ``by_product`` left. Both are usually small enough for
     Spark to broadcast them on their own size; when they are not, the adaptive skew join splits a
     hot customer or product.
     """
-    known = carried_labels(pairs).join(by_customer, "customer_id")
+    known = carried_labels(pairs, *more).join(by_customer, "customer_id")
     stats = by_product.withColumnRenamed("product_id", "_p")
     return known.join(stats, F.coalesce("product_id", F.lit(0)) == F.col("_p"), "left").drop("_p")
 

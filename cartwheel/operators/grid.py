@@ -56,6 +56,23 @@ def attach_to_pairs(pairs: DataFrame, attributes: DataFrame | None) -> DataFrame
                         *[c for c in pairs.columns if c not in key])
 
 
+def _sold_pairs(sold: DataFrame) -> DataFrame:
+    """Pairs by ``_pair_key``: what was bought in which week, and the weeks of negative sums."""
+    positive = F.col("items") > 0
+    return sold.groupBy(*_pair_key()).agg(
+        F.map_from_entries(F.collect_list(F.when(positive, F.struct("week", "items"))))
+        .alias("bought"),
+        F.collect_list(F.when(F.col("items") < 0, F.col("week"))).alias("_negative"),
+        F.count(F.when(positive, 1)).alias("n_pos"),
+        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("s_items"))
+
+
+def _without_negative(packed: DataFrame) -> DataFrame:
+    kept = F.filter("weeks", lambda w: ~F.array_contains("_negative", w["week"]))
+    return packed.withColumn(
+        "weeks", F.when(F.size("_negative") > 0, kept).otherwise(F.col("weeks")))
+
+
 def packed_grid(sold: DataFrame, cust: DataFrame | None = None,
                 heavy_share: int = HEAVY_SHARE, attributes: DataFrame | None = None) -> DataFrame:
     """Every product a customer ever bought, in every week the customer bought anything.
@@ -65,26 +82,56 @@ def packed_grid(sold: DataFrame, cust: DataFrame | None = None,
     customer_id and product_id) are attached before the weeks are, while pairs are still narrow.
     """
     sold = sold.dropna(subset=["customer_id", "week"])
-    positive = F.col("items") > 0
-    cell = F.struct("week", "items")
-    pairs = attach_to_pairs(sold.groupBy(*_pair_key()).agg(
-        F.map_from_entries(F.collect_list(F.when(positive, cell))).alias("bought"),
-        F.collect_list(F.when(F.col("items") < 0, F.col("week"))).alias("_negative"),
-        F.count(F.when(positive, 1)).alias("n_pos"),
-        F.coalesce(F.sum(F.when(positive, F.col("items"))), F.lit(0.0)).alias("s_items")),
-        attributes)
+    pairs = attach_to_pairs(_sold_pairs(sold), attributes)
     weeks = customer_weeks(sold)
     if cust is not None:
         weeks = weeks.join(cust.select("customer_id"), "customer_id", "left_semi")
-    kept = F.filter("weeks", lambda w: ~F.array_contains("_negative", w["week"]))
-    return (_join_weeks(pairs, weeks, sold, heavy_share)
-            .withColumn("weeks", F.when(F.size("_negative") > 0, kept).otherwise(F.col("weeks")))
+    return (_without_negative(_join_weeks(pairs, weeks, sold, heavy_share))
             .withColumn("n_rows", F.size("weeks"))
             .select("customer_id", "product_id", "weeks", "bought", "n_rows", "n_pos", "s_items",
                     *[c for c in pairs.columns if attributes is not None and c in attributes.columns
                       and c not in ("customer_id", "product_id")]))
 
 
+class Weeks(NamedTuple):
+    """The weeks (week, week_total) of known customers as a written table, apart for ``heavy`` ones (null:
+    there are none); ``rows``: about how many cells were sold."""
+
+    light: DataFrame
+    heavy: DataFrame | None
+    rows: int
+
+    def open(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (with ``_negative``) with their weeks: a packed grid."""
+        light = spread(self.light, self.rows, "customer_id")
+        if light is not self.light:  # few customers are in a partition; pairs stream past them
+            light = light.hint("shuffle_hash")
+        packed = pairs.join(light, "customer_id")
+        if self.heavy is not None:
+            packed = packed.unionByName(pairs.join(F.broadcast(self.heavy), "customer_id"))
+        return _without_negative(packed)
+
+
+def stored_weeks(sold: DataFrame, cust: DataFrame, heavy_share: int = HEAVY_SHARE) -> Weeks:
+    sold = sold.dropna(subset=["customer_id", "week"])
+    rows = sold.count()
+    weeks = stage(spread(_weekly(sold, cust, rows), rows, "customer_id").groupBy("customer_id").agg(
+        F.sort_array(F.collect_list(F.struct("week", "week_total"))).alias("weeks"),
+        F.sum("cells").alias("sold_cells")), "customer-weeks")
+    many = F.col("sold_cells") > rows / heavy_share
+    heavy = weeks.filter(many).drop("sold_cells")
+    return Weeks(weeks.filter(~many).drop("sold_cells"), None if heavy.isEmpty() else heavy, rows)
+
+
+def grid_pairs(sold: DataFrame, weeks: Weeks) -> DataFrame:
+    """The packed grid of the customers in ``weeks``, with the weeks of negative sums."""
+    sold = sold.dropna(subset=["customer_id", "week"])
+    if weeks.heavy is None:  # no customer is too large for one task: one shuffle of narrow cells
+        sold = spread(sold, weeks.rows, "customer_id")
+    return weeks.open(attach_to_pairs(_sold_pairs(sold), None)).withColumn(
+        "n_rows", F.size("weeks"))
+
+
 def customer_weeks(sold: DataFrame) -> DataFrame:
     """customer_id, weeks, sold_cells: what each customer bought per week, in order of weeks.
 

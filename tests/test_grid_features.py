@@ -262,3 +262,34 @@ def test_cells_below_a_hash_are_those_of_the_unpacked_grid(spark, heavy_share):
     packed = grid.each_cell(grid.packed_grid(df, cust), 42, limit)
     assert packed.count() == len(got)
     assert packed.filter("_h IS NULL").count() == cells.filter("items > 0").count()
+
+
+def test_features_of_the_whole_grid_group_its_pairs_once(spark, monkeypatch):
+    from cartwheel import session
+    from cartwheel.operators import grid
+    from cartwheel.plans import training
+    week = dt.date(2021, 1, 4)
+    rows = {(i % 23, i % 7 or None, week + dt.timedelta(7 * (i % 11))): float(i % 9 - 2)
+            for i in range(900)}
+    rows |= {(99, p, week + dt.timedelta(7 * w)): 1.0 for p in range(10, 40) for w in range(20)}
+    sold = spark.createDataFrame([(*k, v) for k, v in rows.items()],
+                                 "customer_id long, product_id long, week date, items double")
+    cust = spark.createDataFrame([(i, float(i % 3), None) for i in [*range(2, 23), 99, 5]],
+                                 "customer_id long, X double, Y double")
+    prod = spark.createDataFrame([(i, i % 4) for i in range(20)], "product_id long, size int")
+
+    def lines(df):
+        return sorted(map(str, df.collect()))
+    packed = grid.packed_grid(sold, cust)
+    expected = lines(training.features(packed, cust, prod))
+    pairs = lines(grid.unpack(packed))
+    for task_rows in (500_000, 50):
+        monkeypatch.setattr(session, "TASK_ROWS", task_rows)
+        table = training.grid_features(sold, cust, prod)
+        assert lines(table) == expected and len(expected) > 1000
+        plan = table._jdf.queryExecution().executedPlan().toString()
+        assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+        for share in (1, 3, 2000):  # customer 99 alone has more than a third of the cells
+            weeks = grid.stored_weeks(sold, cust, share)
+            assert (weeks.heavy is None) == (share == 1)
+            assert lines(grid.unpack(grid.grid_pairs(sold, weeks))) == pairs
