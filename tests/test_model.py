@@ -272,3 +272,33 @@ def test_bounded_rows_are_fitted_in_few_partitions_and_fixed_order(spark, monkey
         train.fit_model(df.repartition(parts), {}, fit_rows=200)
     (few, first), (also, second) = seen
     assert few == also == 1 and len(first) == 200 and first == second
+
+
+def test_queries_fit_their_trees_on_all_rows(spark, monkeypatch):
+    from cartwheel.plans import queries
+    n = 10_050  # more than the 10,000 that fits were once cut to
+    table = spark.range(n + 10).select(
+        (F.col("id") % 400).alias("customer_id"), F.col("id").alias("product_id"),
+        F.lit(W0).alias("week"), (F.col("id") % 2).cast("int").alias("target"),
+        F.when(F.col("id") < n, "train").otherwise("val").alias("split"))
+    table = table.withColumns({c: F.col("product_id").cast("double") for c in train.NUMERIC_V2}
+                              | {c: (F.col("product_id") % 3).cast("string") for c in train.CATEGORICAL_V2})
+    monkeypatch.setattr(train, "FIT_TASK_ROWS", 6_000)
+    monkeypatch.setattr(queries, "_split_table", lambda *_: table)
+    monkeypatch.setattr(train, "PipelineModel", lambda stages: stages)
+    monkeypatch.setattr(train, "score", lambda model, df: df.withColumn("prediction", F.lit(1)))
+    monkeypatch.setattr(train.Statistics, "preprocessor", lambda self, params: prep.PipelineModel([
+        prep.VectorAssembler(inputCols=["product_id"], outputCol="features")]))
+    seen = []
+
+    class Fit:
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), [r.features[0] for r in rows.collect()]))
+            return seen
+    monkeypatch.setattr(train, "classifier", lambda *_: Fit())
+    queries._default_model(table)
+    queries._default_model(table.repartition(7))
+    queries.hyperparameter_search(spark, "")
+    assert len(seen) == 2 + train.N_TRIALS
+    assert all(parts == 2 and sorted(rows) == list(range(n)) for parts, rows in seen)
+    assert all(rows == seen[0][1] for _, rows in seen)  # in an order that layout doesn't change
