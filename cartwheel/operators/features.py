@@ -146,10 +146,16 @@ def cell_features(cells: DataFrame, by_customer: DataFrame, by_product: DataFram
     many that a task can't hold them.
     """
     order = Window.partitionBy("customer_id").orderBy("product_id", "_no_product", "week")
-    cells = spread(cells.select(
+    cells = cells.select(
         "customer_id", F.coalesce("product_id", F.lit(0)).alias("product_id"),
         F.isnull("product_id").alias("_no_product"), "week", "total_weekly_purchase",
-        F.when(F.col("items") > 0, 1).otherwise(0).alias("target")), rows, "customer_id")
+        F.when(F.col("items") > 0, 1).otherwise(0).alias("target"))
+    dealt = spread(cells, rows, "customer_id")
+    if dealt is not cells:
+        # where cells are dealt, so are both statistics: of a file that few columns are read from
+        # Spark expects too little, and would send millions of its rows through the driver
+        by_customer = spread(by_customer, rows, "customer_id").hint("shuffle_hash")
+        by_product = spread(by_product, rows, "product_id").hint("shuffle_hash")
 
     def before(c, k=1):
         return F.lag(c, k).over(order)
@@ -159,7 +165,7 @@ def cell_features(cells: DataFrame, by_customer: DataFrame, by_product: DataFram
     labels = [F.col("target"), *[before("target", k) for k in range(1, TREND_ROWS)]]
     total = sum((F.coalesce(x, F.lit(0)) for x in labels), F.lit(0))
     seen = sum((x.isNotNull().cast("int") for x in labels), F.lit(0))
-    known = cells.select("*", (total / seen).alias("recent_purchase_trend"),
+    known = dealt.select("*", (total / seen).alias("recent_purchase_trend"),
                          F.when(same, before("week")).alias("last_purchase_week"))
     known = known.drop("_no_product").join(by_customer, "customer_id")
     return _columns(spread(known, rows, "product_id").join(by_product, "product_id", "left"),

@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from cartwheel import session
 from cartwheel.operators import grid, sampling
 from cartwheel.operators.features import carried_labels, pair_summary
 from cartwheel.plans.training import balanced_cells, features, purchase_features
@@ -267,8 +268,7 @@ def test_cells_below_a_hash_are_those_of_the_unpacked_grid(spark, heavy_share):
 def test_features_of_the_whole_grid_group_its_pairs_once(spark, monkeypatch):
     from cartwheel import session
     from cartwheel.operators import grid
-    from cartwheel.plans import training
-    week = dt.date(2021, 1, 4)
+        week = dt.date(2021, 1, 4)
     rows = {(i % 23, i % 7 or None, week + dt.timedelta(7 * (i % 11))): float(i % 9 - 2)
             for i in range(900)}
     rows |= {(99, p, week + dt.timedelta(7 * w)): 1.0 for p in range(10, 40) for w in range(20)}
@@ -293,3 +293,22 @@ def test_features_of_the_whole_grid_group_its_pairs_once(spark, monkeypatch):
             weeks = grid.stored_weeks(sold, cust, share)
             assert (weeks.heavy is None) == (share == 1)
             assert lines(grid.unpack(grid.grid_pairs(sold, weeks))) == pairs
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_trend_alone_sends_no_statistics_through_the_driver(spark, monkeypatch):
+    sold = random_sold(3)
+    cust, prod = dims(spark, range(6), range(1, 8))
+    cells = grid.grid_labeled(spark.createDataFrame(sold, SOLD), cust).localCheckpoint()
+    got = []
+    for task_rows in (10 ** 6, 20):
+        monkeypatch.setattr(session, "TASK_ROWS", task_rows)
+        trend = purchase_features(cells, cust, prod).select(
+            "customer_id", "product_id", "week", "recent_purchase_trend")
+        got.append(as_set(trend, trend.columns))
+    # a few columns of a file look small enough to broadcast, whatever the number of rows
+    assert "Broadcast" not in plan_of(trend) and "ShuffledHashJoin" in plan_of(trend)
+    assert got[0] == got[1] and got[0]
