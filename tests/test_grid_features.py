@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from functools import partial
 
 import pandas as pd
 import pytest
@@ -10,7 +11,8 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from cartwheel import session
 from cartwheel.operators import grid, sampling
 from cartwheel.operators.features import carried_labels, pair_summary
-from cartwheel.plans.training import balanced_cells, features, purchase_features
+from cartwheel.plans import training
+from cartwheel.plans.training import balanced_cells, features, grid_features, purchase_features
 from cartwheel.schemas import CUSTOMERS, PRODUCTS
 
 MONDAY = dt.date(2021, 1, 4)
@@ -268,7 +270,8 @@ def test_cells_below_a_hash_are_those_of_the_unpacked_grid(spark, heavy_share):
 def test_features_of_the_whole_grid_group_its_pairs_once(spark, monkeypatch):
     from cartwheel import session
     from cartwheel.operators import grid
-        week = dt.date(2021, 1, 4)
+    from cartwheel.plans import training
+    week = dt.date(2021, 1, 4)
     rows = {(i % 23, i % 7 or None, week + dt.timedelta(7 * (i % 11))): float(i % 9 - 2)
             for i in range(900)}
     rows |= {(99, p, week + dt.timedelta(7 * w)): 1.0 for p in range(10, 40) for w in range(20)}
@@ -312,3 +315,26 @@ def test_trend_alone_sends_no_statistics_through_the_driver(spark, monkeypatch):
     # a few columns of a file look small enough to broadcast, whatever the number of rows
     assert "Broadcast" not in plan_of(trend) and "ShuffledHashJoin" in plan_of(trend)
     assert got[0] == got[1] and got[0]
+
+
+@pytest.mark.parametrize("share", [1, 4, 10 ** 9])  # no customer is heavy, one, all
+def test_whole_grid_features_sort_nothing_wide(spark, monkeypatch, share):
+    sold = [*random_sold(5), (1, None, week(2), 3.0), (1, None, week(4), 1.0)]
+    df = spark.createDataFrame(sold, SOLD)
+    cust, prod = dims(spark, range(5), range(1, 6))  # customer 5, products 6 and 7 are unknown
+    monkeypatch.setattr(training, "stored_weeks", partial(grid.stored_weeks, heavy_share=share))
+    want = features(grid.packed_grid(df, cust), cust, prod)
+    names, want, drawn = want.columns, as_set(want, want.columns), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for task_rows in (10 ** 6, 20):
+            monkeypatch.setattr(session, "TASK_ROWS", task_rows)
+            got = grid_features(df, cust, prod)
+            assert got.columns == names and as_set(got, names) == want
+            drawn.append(as_set(grid_features(df, cust, prod, chosen=True), names))
+        assert "SortMergeJoin" not in plan_of(got)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert drawn[0] == drawn[1] and set(drawn[0]) <= set(want)
+    at = names.index("target")
+    assert sum(r[at] for r in drawn[0]) * 2 == len(drawn[0]) > 0
